@@ -1,0 +1,28 @@
+"""All registered queries: each reads the benchmark tables through :mod:`duebook.fixtures`."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from duebook import fixtures as fx
+from duebook.contracts import MONEY
+from duebook.oracles import SERVICING_SELECT, over_views
+from duebook.plans import facts
+
+QUERIES = {}
+ANSWERS = {}
+
+
+def money(df, *names):
+    return df.withColumns({n: F.col(n).try_cast(MONEY) for n in names})
+
+
+def fct_servicing(spark, sf):
+    out = facts.servicing_performance(
+        fx.payments(spark, sf), fx.cases(spark, sf), fx.contracts(spark, sf)
+    )
+    return money(out, "collections_actual")
+
+
+QUERIES["fct_servicing"] = fct_servicing
+ANSWERS["fct_servicing"] = over_views(SERVICING_SELECT)
