@@ -58,15 +58,16 @@ OPTIONAL_INBOUND = frozenset(
     {"segment_code", "collection_status", "last_payment_date", "originator_score"}
 )
 
+_SILVER_TYPES = {
+    "original_balance": MONEY,
+    "current_balance": MONEY,
+    "default_date": DateType(),
+    "date_of_birth": DateType(),
+}
+
 SILVER_CASES = StructType(
     [
-        StructField("original_balance", MONEY)
-        if f.name == "original_balance"
-        else StructField("current_balance", MONEY)
-        if f.name == "current_balance"
-        else StructField(f.name, DateType())
-        if f.name in ("default_date", "date_of_birth")
-        else f
+        StructField(f.name, _SILVER_TYPES.get(f.name, f.dataType), f.nullable)
         for f in RAW_CASES.fields
     ]
 )

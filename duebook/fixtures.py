@@ -239,3 +239,26 @@ def cases_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases(spark, sf_dir).select(
         "case_reference", portfolio.alias("portfolio_id"), "original_balance"
     )
+
+
+def case_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid-time history of each case: placed until contacted, then contacted."""
+    placed, contact = F.col("placed_date"), F.col("first_contact_date")
+    still_open = F.lit(None).cast("date")
+
+    def version(stage: str, start: Column, end: Column) -> Column:
+        return F.struct(
+            F.lit(stage).alias("stage"), start.alias("valid_from"), end.alias("valid_to")
+        )
+
+    history = F.array_compact(
+        F.array(
+            F.when(contact.isNull() | (contact > placed), version("placed", placed, contact)),
+            F.when(contact.isNotNull(), version("contacted", contact, still_open)),
+        )
+    )
+    return (
+        cases(spark, sf_dir)
+        .select("case_reference", "portfolio_id", F.explode(history).alias("v"))
+        .select("case_reference", "portfolio_id", "v.*")
+    )

@@ -15,7 +15,7 @@ BLOCK_BYTES = 64
 PREFIX = "px_"
 
 
-def _padded_keys(pepper: str) -> tuple[bytes, bytes]:
+def padded_keys(pepper: str) -> tuple[bytes, bytes]:
     """Inner and outer key of HMAC-SHA256 (RFC 2104)."""
     secret = pepper.encode("utf-8")
     if len(secret) > BLOCK_BYTES:
@@ -35,7 +35,7 @@ def pseudonym(value: Column, pepper: str) -> Column:
     NULL and blank values stay NULL: otherwise everybody without an id would become one
     person.
     """
-    inner_key, outer_key = _padded_keys(pepper)
+    inner_key, outer_key = padded_keys(pepper)
     text = F.lower(strip_whitespace(value))
     inner = F.sha2(F.concat(F.lit(inner_key), F.encode(text, "UTF-8")), 256)
     digest = F.sha2(F.concat(F.lit(outer_key), F.unhex(inner)), 256)
