@@ -23,7 +23,8 @@ from duebook.operators.quality import (
 from duebook.oracles import SERVICING_SELECT, over_views
 from duebook.plans import facts
 from duebook.plans.ingest import silver_cases as type_and_flag
-from duebook.sources.storage import shared_folder, snapshot_fingerprint as fingerprint, write_table
+from duebook.sources.storage import replace_batch, shared_folder, write_table
+from duebook.sources.storage import snapshot_fingerprint as fingerprint
 
 CASES_WITH_DEBTORS = "SELECT * FROM v_cases_raw JOIN v_debtors USING (debtor_key)"
 
@@ -268,13 +269,7 @@ def quarantine_append(spark, sf):
     cases = fx.cases(spark, sf).select("case_reference", "original_balance")
     for batch, least in (("first", 100_000), ("second", 200_000), ("second", 200_000)):
         _, rejected, _ = apply_rules(cases, [Rule("large", f"original_balance >= {least}")])
-        write_table(
-            rejected.withColumn("_batch_id", F.lit(batch)),
-            table,
-            mode="replace_partitions",
-            partition_by=["_batch_id"],
-            path=folder,
-        )
+        replace_batch(rejected, table, batch, path=folder)
     return spark.table(table).select(
         "_batch_id", "case_reference", F.concat_ws(",", FAILURES).alias("failures")
     )

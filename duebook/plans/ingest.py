@@ -29,7 +29,7 @@ from duebook.operators.quality import (
     rule_metrics,
 )
 from duebook.sources.landing import CORRUPT, read_landing
-from duebook.sources.storage import shared_folder, write_table
+from duebook.sources.storage import replace_batch, shared_folder, write_table
 
 QUARANTINE_LIMIT = 0.10
 KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file")
@@ -133,11 +133,10 @@ def ingest_cases(
         clean_table,
         path=folder and f"{folder}/{clean_table}",
     )
-    write_table(
+    replace_batch(
         staged.where(F.col(HAS_ERROR)).drop(HAS_ERROR),
         quarantine_table,
-        mode="replace_partitions",
-        partition_by=["_batch_id"],
+        batch_id,
         path=folder and f"{folder}/{quarantine_table}",
     )
     return Ingested(clean_table, quarantine_table, metrics)

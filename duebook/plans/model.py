@@ -27,6 +27,10 @@ MODEL_FEATURES = [
 BOOSTING_ROUNDS = 50
 SUSPICIOUS_AUC = 0.95
 
+# Trees refuse missing numbers. An unknown recency or gap is no case that just paid: it is put
+# above every possible number of days, so that one split can set these cases apart.
+UNKNOWN_DAYS = 1e7
+
 
 @dataclass(frozen=True)
 class Propensity:
@@ -57,13 +61,14 @@ def train_propensity(
     narrow = training_set.select(
         "as_of_date",
         F.col(LABEL).cast("int").alias(LABEL),
-        *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES],
+        *[
+            F.coalesce(F.col(c).cast("double"), F.lit(UNKNOWN_DAYS)).alias(c)
+            for c in MODEL_FEATURES
+        ],
     )
     train, test = temporal_split(narrow, cutoff)
     trees = GBTClassifier(labelCol=LABEL, featuresCol="features", maxIter=rounds, seed=17)
-    assembler = VectorAssembler(
-        inputCols=MODEL_FEATURES, outputCol="features", handleInvalid="keep"
-    )
+    assembler = VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features")
     model = Pipeline(stages=[assembler, trees]).fit(train)
     auc = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(
         model.transform(test)

@@ -35,6 +35,14 @@ def _same_layout(table: StructType, df: StructType) -> bool:
     return layout(table) == layout(df)
 
 
+def _check_layout(table: DataFrame, name: str, df: DataFrame) -> None:
+    if not _same_layout(table.schema, df.schema):
+        raise ValueError(
+            f"columns of {name} differ: table {table.schema.simpleString()}, "
+            f"new rows {df.schema.simpleString()}"
+        )
+
+
 def write_table(
     df: DataFrame,
     table: str,
@@ -42,30 +50,20 @@ def write_table(
     partition_by: Sequence[str] = (),
     path: str | None = None,
 ) -> None:
-    """Write a catalog table as Parquet.
+    """Write a catalog table as Parquet; ``mode`` is ``overwrite`` or ``append``.
 
-    ``mode`` is ``overwrite``, ``append`` or ``replace_partitions`` (only the partitions
-    present in ``df`` are replaced, so writing a batch again does not double it). An existing
-    table is never widened or retyped: new rows must match it in name and type. Not partitioned
-    unless asked, because small partitions cost more than they save.
+    An existing table is never widened or retyped: new rows must match it in name and type.
+    Not partitioned unless asked, because small partitions cost more than they save.
     """
     assert_no_personal_data(df.columns, table)
     spark = df.sparkSession
-    exists = spark.catalog.tableExists(table)
-    current = spark.table(table) if exists else df
-    if not _same_layout(current.schema, df.schema):
-        raise ValueError(
-            f"columns of {table} differ: table {current.schema.simpleString()}, "
-            f"new rows {df.schema.simpleString()}"
-        )
-    if exists and mode != "overwrite":
-        aligned = df.select(*current.columns).write
-        if mode == "replace_partitions":
-            aligned.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-        else:
-            aligned.insertInto(table)
-        return
-    writer = df.write.format("parquet").mode("overwrite" if mode == "overwrite" else "error")
+    if spark.catalog.tableExists(table):
+        current = spark.table(table)
+        _check_layout(current, table, df)
+        if mode == "append":
+            df.select(*current.columns).write.insertInto(table)
+            return
+    writer = df.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -73,6 +71,30 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def replace_batch(
+    df: DataFrame, table: str, batch_id: str, path: str | None = None
+) -> None:
+    """Put the rows of one batch into a table partitioned by ``_batch_id``.
+
+    Other batches stay; writing the same batch again replaces its rows, so a rerun does not
+    double them.
+    """
+    spark = df.sparkSession
+    labelled = df.withColumn("_batch_id", F.lit(batch_id))
+    if not spark.catalog.tableExists(table):
+        write_table(labelled, table, partition_by=["_batch_id"], path=path)
+        return
+    assert_no_personal_data(df.columns, table)
+    current = spark.table(table)
+    _check_layout(current, table, labelled)
+    batch = batch_id.replace("\\", "\\\\").replace("'", "\\'")
+    rows = labelled.select(*[c for c in current.columns if c != "_batch_id"])
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (_batch_id = '{batch}') SELECT * FROM {{rows}}",
+        rows=rows,
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header in every file; spaces at the ends of values are kept."""
     (
