@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from duebook import fixtures as fx
 from duebook.catalog.registry import money, query
 from duebook.contracts import SERVICING_FACT, conform
-from duebook.operators.joins import as_of_slice, join_valid_version
+from duebook.operators.joins import as_of_slice, join_large, join_valid_version
 from duebook.operators.quality import FAILURES
 from duebook.oracles import SERVICING_SELECT, over_views
 from duebook.plans import facts
@@ -58,7 +58,7 @@ FROM v_payments p JOIN v_cases k ON p.case_reference = k.case_reference"""
 )
 def join_inner_equi(spark, sf):
     cases = fx.cases(spark, sf).select("case_reference", "portfolio_id", "client_id")
-    return fx.payments(spark, sf).drop("channel").join(cases, "case_reference")
+    return join_large(fx.payments(spark, sf).drop("channel"), cases, "case_reference")
 
 
 @query(

@@ -116,8 +116,7 @@ def dq_payments(spark, sf):
 @query(over_views("SELECT * FROM v_payments"), name="dedupe_latest")
 def latest_payments(spark, sf):
     raw = fx.payments_raw(spark, sf).drop("line_no")
-    newest = [F.col(c).desc() for c in ("payment_date", "amount", "channel")]
-    return dedupe_latest(raw, ["payment_id"], newest)
+    return dedupe_latest(raw, ["payment_id"], ["payment_date", "amount", "channel"])
 
 
 @query(

@@ -6,14 +6,26 @@ DataFrame versions that the registered queries read.
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from duebook.operators.quality import dedupe_latest
 
 
+@lru_cache(maxsize=None)
+def _schema_json(path: str) -> str:
+    """Schema of a table, read from its footers only once per process."""
+    return SparkSession.active().read.parquet(path).schema.json()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    schema = StructType.fromJson(json.loads(_schema_json(path)))
+    return spark.read.schema(schema).parquet(path)
 
 
 def case_number(reference: str = "case_reference") -> Column:
@@ -94,8 +106,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = payments_raw(spark, sf_dir).select(
         "case_reference", "payment_id", "payment_date", "amount", "channel"
     )
-    newest = [F.col(c).desc() for c in ("payment_date", "amount", "channel")]
-    return dedupe_latest(raw, ["payment_id"], newest)
+    return dedupe_latest(raw, ["payment_id"], ["payment_date", "amount", "channel"])
 
 
 def portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def join_large(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join two sides that both grow with the data.
+
+    The merge hint keeps Catalyst from broadcasting one of them on the strength of a low
+    estimate (compressed files, derived columns). It spills, and adaptive execution splits
+    its skewed partitions.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def valid_at(at: Column) -> Column:
     """Predicate: the row's validity covers ``at``."""
     return (F.col("valid_from") <= at) & (at < F.coalesce(F.col("valid_to"), F.lit(OPEN_END)))

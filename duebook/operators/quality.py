@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ERROR = "error"
@@ -136,17 +136,18 @@ def payment_rules(as_of: date) -> list[Rule]:
     ]
 
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_first: Sequence[Column]) -> DataFrame:
-    """Keep one row per key: the first in ``latest_first`` order; NULL keys form one group.
+def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """Keep the row with the highest ``latest_by`` values per key; NULL keys form one group.
 
-    Ties are broken by a hash of the row and then by every column, so the pick does not
-    depend on how rows arrive. ``row_number() = 1`` is planned with a partial group limit
-    before the shuffle: each map task sends at most one row per key, which keeps a key that
-    holds a third of the table harmless.
+    Ties go to the highest of the remaining columns, in order, so the pick never depends on
+    how rows arrive: rows that still tie are identical. ``row_number() = 1`` is planned with a
+    partial group limit before the shuffle: each map task sends at most one row per key, which
+    keeps a key that holds a third of the table harmless. The key's hash leads the
+    partitioning because sorting compares its eight bytes before it looks at any text.
     """
-    orderable = [F.col(c) for c in df.columns]
-    latest = Window.partitionBy(*keys).orderBy(
-        *latest_first, F.xxhash64(*orderable).desc(), *[c.desc() for c in orderable]
+    tie_break = [c for c in df.columns if c not in {*keys, *latest_by}]
+    latest = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(
+        *[F.desc(c) for c in [*latest_by, *tie_break]]
     )
     ranked = df.withColumn("_rank", F.row_number().over(latest))
     return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from duebook.contracts import MONEY, RATE
 from duebook.functions.dates import month_of, whole_months
-from duebook.operators.joins import join_valid_version
+from duebook.operators.joins import join_large, join_valid_version
 
 
 def collections_by_case_month(payments: DataFrame) -> DataFrame:
@@ -25,8 +25,7 @@ def collections_by_case_month(payments: DataFrame) -> DataFrame:
 def collections_by_portfolio_month(payments: DataFrame, cases: DataFrame) -> DataFrame:
     owned = cases.select("case_reference", "portfolio_id")
     return (
-        collections_by_case_month(payments)
-        .join(owned, "case_reference")
+        join_large(collections_by_case_month(payments), owned, "case_reference")
         .groupBy("portfolio_id", "as_of_month")
         .agg(F.sum("collections_actual").alias("collections_actual"))
     )
@@ -132,7 +131,7 @@ def collections_by_client_case(
     # Same hash partitioning as the join, so this second sum adds no shuffle. It only
     # merges rows when a case was placed twice with identical dates.
     return (
-        per_case.join(placed, "case_reference")
+        join_large(per_case, placed, "case_reference")
         .groupBy("client_id", "case_reference", *days, "placed_date", "first_contact_date")
         .agg(F.sum("collections_actual").alias("collections_actual"))
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duebook.functions.dates import month_of
-from duebook.operators.joins import as_of_slice, valid_at
+from duebook.operators.joins import as_of_slice, join_large, valid_at
 
 LABEL_HORIZON_DAYS = 90
 LABEL = "label_paid_90d"
@@ -98,7 +98,7 @@ def payment_gaps(payments: DataFrame) -> DataFrame:
         F.col("payment_date")
     )
     return (
-        payments.join(days, same_day)
+        join_large(payments, days, same_day)
         .withColumn("prev_payment_date", previous)
         .withColumn("gap_days", F.datediff("payment_date", "prev_payment_date"))
         .drop("_case", "_day", "_first_id", "_previous")
@@ -116,7 +116,8 @@ def lifetime_totals(payments: DataFrame) -> DataFrame:
 
 def features_naive(payments: DataFrame, cases: DataFrame, as_of: date) -> DataFrame:
     totals = lifetime_totals(payments)
-    return cases.join(totals, "case_reference", "left").withColumn("as_of_date", F.lit(as_of))
+    joined = join_large(cases, totals, "case_reference", "left")
+    return joined.withColumn("as_of_date", F.lit(as_of))
 
 
 def trailing_sums(payments: DataFrame, as_of: date) -> DataFrame:
@@ -180,7 +181,7 @@ def _features_and_label(
     days = payment_days(payments.where(F.col("payment_date") < F.lit(seen_until)))
     per_case = days.groupBy("case_reference").agg(*_measures(F.lit(as_of)))
     known_cases = as_of_slice(cases, as_of).withColumn("as_of_date", F.lit(as_of))
-    return _finish(known_cases.join(per_case, "case_reference", "left"))
+    return _finish(join_large(known_cases, per_case, "case_reference", "left"))
 
 
 def features_pit(payments: DataFrame, cases: DataFrame, as_of: date) -> DataFrame:
@@ -197,16 +198,11 @@ def forward_label(payments: DataFrame, cases: DataFrame, as_of: date) -> DataFra
         .groupBy("case_reference")
         .agg(F.sum("amount").alias("_paid"))
     )
-    return (
-        as_of_slice(cases, as_of)
-        .select("case_reference")
-        .distinct()
-        .join(paid, "case_reference", "left")
-        .select(
-            "case_reference",
-            F.lit(as_of).alias("as_of_date"),
-            (F.coalesce(F.col("_paid"), F.lit(0)) > 0).alias(LABEL),
-        )
+    known_cases = as_of_slice(cases, as_of).select("case_reference").distinct()
+    return join_large(known_cases, paid, "case_reference", "left").select(
+        "case_reference",
+        F.lit(as_of).alias("as_of_date"),
+        (F.coalesce(F.col("_paid"), F.lit(0)) > 0).alias(LABEL),
     )
 
 
@@ -240,7 +236,7 @@ def training_set_backfill(
     known_cases = cases.withColumn("as_of_date", F.explode(every_date))
     if "valid_from" in cases.columns:
         known_cases = known_cases.where(valid_at(F.col("as_of_date")))
-    return _finish(known_cases.join(per_case, ["case_reference", "as_of_date"], "left"))
+    return _finish(join_large(known_cases, per_case, ["case_reference", "as_of_date"], "left"))
 
 
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:

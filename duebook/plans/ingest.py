@@ -93,9 +93,9 @@ def checked_cases(landed: DataFrame, as_of: date, pepper: str) -> DataFrame:
         ).drop(CORRUPT),
         pepper,
     )
-    return dedupe_latest(
-        protected, ["case_reference", "_own_key"], [F.col("_source_file").desc()]
-    ).drop("_own_key")
+    return dedupe_latest(protected, ["case_reference", "_own_key"], ["_source_file"]).drop(
+        "_own_key"
+    )
 
 
 def ingest_cases(
