@@ -10,7 +10,7 @@ from duebook.operators.defects import generate_payments as make_payments
 from duebook.operators.defects import inject_defects as plant_defects
 from duebook.oracles import over_views
 from duebook.plans import features, model
-from duebook.sources.storage import shared_folder
+from duebook.sources.storage import stage
 
 AS_OF = f"DATE '{FEATURES_AS_OF}'"
 
@@ -228,9 +228,8 @@ def temporal_split(spark, sf):
 @query()
 def train_propensity(spark, sf):
     """Training reads its table many times, so it is written first, one folder per day."""
-    path = shared_folder(spark, "training")
-    _backfill(spark, sf).write.partitionBy("as_of_date").parquet(path)
-    fitted = model.train_propensity(spark.read.parquet(path), FEATURES_AS_OF)
+    written = stage(_backfill(spark, sf), "training", ["as_of_date"])
+    fitted = model.train_propensity(written, FEATURES_AS_OF)
     row = (fitted.auc, fitted.train_rows, fitted.test_rows, fitted.looks_leaky)
     return spark.createDataFrame(
         [row], "auc double, train_rows bigint, test_rows bigint, looks_leaky boolean"

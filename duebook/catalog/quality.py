@@ -23,7 +23,8 @@ from duebook.operators.quality import (
 from duebook.oracles import SERVICING_SELECT, over_views
 from duebook.plans import facts
 from duebook.plans.ingest import silver_cases as type_and_flag
-from duebook.sources.storage import replace_batch, shared_folder, write_table
+from duebook.plans.publish import publish_fact
+from duebook.sources.storage import replace_partition, shared_folder
 from duebook.sources.storage import snapshot_fingerprint as fingerprint
 
 CASES_WITH_DEBTORS = "SELECT * FROM v_cases_raw JOIN v_debtors USING (debtor_key)"
@@ -205,14 +206,17 @@ SELECT * FROM (VALUES
   ('unpublished', 'readable', false, 'no such table')
 ) t(table_name, check_name, passed, detail)
 UNION ALL
-SELECT 'investing', 'no_negative_money', count(*) = 0, concat(CAST(count(*) AS VARCHAR), ' rows')
+SELECT 'investing', 'no_negative_money', count(*) = 0,
+       CASE WHEN count(*) = 0 THEN '' ELSE concat(CAST(count(*) AS VARCHAR), ' rows are negative') END
 FROM (SELECT portfolio_id, date_trunc('month', payment_date) AS mth, sum(amount) AS amt
       FROM v_payments JOIN v_cases USING (case_reference) GROUP BY ALL) WHERE amt < 0
 UNION ALL
-SELECT 'investing', 'grain_unique', count(*) = 0, concat(CAST(count(*) AS VARCHAR), ' duplicate keys')
+SELECT 'investing', 'grain_unique', count(*) = 0,
+       CASE WHEN count(*) = 0 THEN '' ELSE concat(CAST(count(*) AS VARCHAR), ' keys are not unique') END
 FROM (SELECT portfolio_id FROM v_portfolios GROUP BY 1 HAVING count(*) > 1)
 UNION ALL
-SELECT 'servicing', 'grain_unique', count(*) = 0, concat(CAST(count(*) AS VARCHAR), ' duplicate keys')
+SELECT 'servicing', 'grain_unique', count(*) = 0,
+       CASE WHEN count(*) = 0 THEN '' ELSE concat(CAST(count(*) AS VARCHAR), ' keys are not unique') END
 FROM (SELECT client_id, case_reference, as_of_month FROM s GROUP BY ALL HAVING count(*) > 1)""",
         ("s", SERVICING_SELECT),
     )
@@ -226,14 +230,15 @@ def table_health(spark, sf):
     )
     folder = shared_folder(spark, "health")
     suffix = folder.rsplit("-", 1)[1]
-    named = {}
+    named = {name: f"{name}_{suffix}" for name in ("investing", "servicing")}
+    servicing = _servicing(spark, sf)
     for name, df, contract in (
         ("investing", investing, INVESTING_FACT),
-        ("servicing", _servicing(spark, sf), SERVICING_FACT),
+        ("servicing", servicing, SERVICING_FACT),
     ):
-        named[name] = f"{name}_{suffix}"
-        clean, _ = split(conform(df, contract, "batch-1"))
-        write_table(clean.drop(FAILURES), named[name], path=f"{folder}/{name}")
+        publish_fact(
+            df, contract, "batch-1", named[name], f"{named[name]}_quarantine", folder=folder
+        )
     specs = [
         health.TableSpec(
             named["investing"], ("portfolio_id", "as_of_month"),
@@ -268,7 +273,7 @@ def quarantine_append(spark, sf):
     cases = fx.cases(spark, sf).select("case_reference", "original_balance")
     for batch, least in (("first", 100_000), ("second", 200_000), ("second", 200_000)):
         _, rejected, _ = apply_rules(cases, [Rule("large", f"original_balance >= {least}")])
-        replace_batch(rejected, table, batch, path=folder)
+        replace_partition(rejected, table, "_batch_id", batch, path=folder)
     return spark.table(table).select(
         "_batch_id", "case_reference", F.concat_ws(",", FAILURES).alias("failures")
     )

@@ -26,38 +26,74 @@ def duplicate_keys(df: DataFrame, grain: Sequence[str]) -> DataFrame:
     return df.groupBy(*grain).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
+def _any_negative(columns: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c) < 0 for c in columns])
+
+
 def negative_money(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many rows have a negative amount."""
-    negative = reduce(Column.__or__, [F.col(c) < 0 for c in columns])
-    return df.agg(F.count_if(negative).alias("rows_negative"))
+    return df.agg(F.count_if(_any_negative(columns)).alias("rows_negative"))
+
+
+def _hours_since(moment: Column) -> Column:
+    return (F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(moment)) / 3600
 
 
 def freshness(df: DataFrame, column: str = "_ingested_at") -> DataFrame:
     """One row: newest load time and its age in hours."""
-    age = (F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.max(column))) / 3600
-    return df.agg(F.max(column).alias("latest"), age.alias("age_hours"))
+    latest = F.max(column)
+    return df.agg(latest.alias("latest"), _hours_since(latest).alias("age_hours"))
 
 
 def not_empty(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def _result(spark: SparkSession, table: str, check: str, passed: bool, detail: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(table).alias("table_name"),
+def _finding(check: str, passed: Column, detail: Column) -> Column:
+    passed = F.coalesce(passed, F.lit(False))
+    return F.struct(
         F.lit(check).alias("check_name"),
-        F.lit(passed).alias("passed"),
-        F.lit(detail).alias("detail"),
+        passed.alias("passed"),
+        F.when(passed, "").otherwise(detail).alias("detail"),
     )
 
 
-def _as_result(one_row: DataFrame, table: str, check: str, passed: Column, detail: Column):
-    return one_row.select(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.coalesce(passed, F.lit(False)).alias("passed"),
-        detail.alias("detail"),
-    )
+def _findings(one_row: DataFrame, table: str, findings: Sequence[Column]) -> DataFrame:
+    found = one_row.select(F.inline(F.array(*findings)))
+    return found.select(F.lit(table).alias("table_name"), "*")
+
+
+def check_table(df: DataFrame, spec: TableSpec, max_age_hours: int = MAX_AGE_HOURS) -> DataFrame:
+    """All checks of one table in one pass: a sum per grain key, then one over the keys."""
+    measures = [F.count(F.lit(1)).alias("rows")]
+    totals = [
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("rows") > 1).alias("doubled"),
+    ]
+    leaked = forbidden_columns(df.columns)
+    findings = [
+        _finding("readable", F.lit(True), F.lit("")),
+        _finding("not_empty", F.col("rows") > 0, F.lit("no rows")),
+        _finding("no_personal_data", F.lit(not leaked), F.lit(", ".join(leaked))),
+        _finding(
+            "grain_unique",
+            F.col("doubled") == 0,
+            F.concat(F.col("doubled").cast("string"), F.lit(" keys are not unique")),
+        ),
+    ]
+    if "_ingested_at" in df.columns:
+        measures.append(F.max("_ingested_at").alias("latest"))
+        totals.append(F.max("latest").alias("latest"))
+        hours = F.floor(_hours_since(F.col("latest"))).cast("string")
+        age = F.concat(F.lit("age in hours: "), F.coalesce(hours, F.lit("unknown")))
+        findings.append(_finding("fresh", _hours_since(F.col("latest")) <= max_age_hours, age))
+    if spec.money:
+        measures.append(F.count_if(_any_negative(spec.money)).alias("negative"))
+        totals.append(F.coalesce(F.sum("negative"), F.lit(0)).alias("negative"))
+        count = F.concat(F.col("negative").cast("string"), F.lit(" rows are negative"))
+        findings.append(_finding("no_negative_money", F.col("negative") == 0, count))
+    per_key = df.groupBy(*spec.grain).agg(*measures)
+    return _findings(per_key.agg(*totals), spec.name, findings)
 
 
 def table_health(
@@ -66,43 +102,9 @@ def table_health(
     """(table_name, check_name, passed, detail) for every check of every table."""
     results = []
     for spec in specs:
-        if not spark.catalog.tableExists(spec.name):
-            results.append(_result(spark, spec.name, "readable", False, "no such table"))
-            continue
-        df = spark.table(spec.name)
-        leaked = forbidden_columns(df.columns)
-        filled = not_empty(df)
-        results.append(_result(spark, spec.name, "readable", True, ""))
-        results.append(
-            _result(spark, spec.name, "not_empty", filled, "" if filled else "no rows")
-        )
-        results.append(
-            _result(spark, spec.name, "no_personal_data", not leaked, ", ".join(leaked))
-        )
-        if "_ingested_at" in df.columns:
-            fresh = F.col("age_hours") <= max_age_hours
-            too_old = F.concat(
-                F.lit("age in hours: "), F.coalesce(F.round("age_hours", 1).cast("string"), F.lit("unknown"))
-            )
-            results.append(
-                _as_result(
-                    freshness(df), spec.name, "fresh", fresh,
-                    F.when(fresh, "").otherwise(too_old),
-                )
-            )
-        doubled = duplicate_keys(df, spec.grain).agg(F.count(F.lit(1)).alias("keys"))
-        results.append(
-            _as_result(
-                doubled, spec.name, "grain_unique", F.col("keys") == 0,
-                F.concat(F.col("keys").cast("string"), F.lit(" duplicate keys")),
-            )
-        )
-        if spec.money:
-            results.append(
-                _as_result(
-                    negative_money(df, spec.money), spec.name, "no_negative_money",
-                    F.col("rows_negative") == 0,
-                    F.concat(F.col("rows_negative").cast("string"), F.lit(" rows")),
-                )
-            )
+        if spark.catalog.tableExists(spec.name):
+            results.append(check_table(spark.table(spec.name), spec, max_age_hours))
+        else:
+            absent = _finding("readable", F.lit(False), F.lit("no such table"))
+            results.append(_findings(spark.range(1), spec.name, [absent]))
     return reduce(DataFrame.unionByName, results)

@@ -27,9 +27,11 @@ from duebook.operators.quality import (
     dedupe_latest,
     flag_failures,
     rule_metrics,
+    split,
 )
+from duebook.plans.publish import publish_parts
 from duebook.sources.landing import CORRUPT, read_landing
-from duebook.sources.storage import replace_batch, shared_folder, write_table
+from duebook.sources.storage import stage
 
 QUARANTINE_LIMIT = 0.10
 KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file")
@@ -119,24 +121,10 @@ def ingest_cases(
     landed = read_landing(spark, landing_path, RAW_CASES, batch_id)
     assert_registry_covers([c for c in landed.columns if c != CORRUPT], KNOWN_SAFE)
 
-    stage = shared_folder(spark, f"ingest-{batch_id}")
-    checked = checked_cases(landed, as_of, pepper)
-    checked.write.partitionBy(HAS_ERROR).parquet(stage)
-    staged = spark.read.schema(checked.schema).parquet(stage)
-
+    staged = stage(checked_cases(landed, as_of, pepper), f"ingest-{batch_id}", [HAS_ERROR])
     metrics = rule_metrics(staged, ingest_rules(as_of)).first().asDict()
     check_error_rate(metrics, limit)
 
-    folder = table_folder.rstrip("/") if table_folder else None
-    write_table(
-        staged.where(~F.col(HAS_ERROR)).drop(HAS_ERROR),
-        clean_table,
-        path=folder and f"{folder}/{clean_table}",
-    )
-    replace_batch(
-        staged.where(F.col(HAS_ERROR)).drop(HAS_ERROR),
-        quarantine_table,
-        batch_id,
-        path=folder and f"{folder}/{quarantine_table}",
-    )
+    clean, rejected = split(staged)
+    publish_parts(clean, rejected, batch_id, clean_table, quarantine_table, table_folder)
     return Ingested(clean_table, quarantine_table, metrics)

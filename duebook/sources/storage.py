@@ -71,30 +71,42 @@ def write_table(
     writer.saveAsTable(table)
 
 
-def replace_batch(
-    df: DataFrame, table: str, batch_id: str, path: str | None = None
+def replace_partition(
+    df: DataFrame, table: str, column: str, value: object, path: str | None = None
 ) -> None:
-    """Put the rows of one batch into a table partitioned by ``_batch_id``.
+    """Put rows into one partition of a table partitioned by ``column``.
 
-    Other batches stay; writing the same batch again replaces its rows, so a rerun does not
-    double them.
+    Other partitions stay; writing the same one again replaces its rows, so a rerun does not
+    double them. ``df`` must not contain other values of ``column``, and may lack it.
     """
     spark = df.sparkSession
-    labelled = df.withColumn("_batch_id", F.lit(batch_id))
+    labelled = df.withColumn(column, F.lit(value))
     if not spark.catalog.tableExists(table):
-        write_table(labelled, table, partition_by=["_batch_id"], path=path)
+        write_table(labelled, table, partition_by=[column], path=path)
         return
     assert_no_personal_data(df.columns, table)
     current = spark.table(table)
     _check_layout(current, table, labelled)
-    batch = batch_id.replace("\\", "\\\\").replace("'", "\\'")
-    rows = labelled.select(*[c for c in current.columns if c != "_batch_id"])
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    rows = labelled.select(*[c for c in current.columns if c != column])
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (_batch_id = '{batch}') SELECT * FROM {{rows}}",
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{text}') SELECT * FROM {{rows}}",
         rows=rows,
     )
 
 
+def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Compute ``df`` once into shared storage and read it from there.
+
+    For plans that are published in several parts. The written files end the lineage, so a
+    lost executor repeats at most its own tasks of the later steps.
+    """
+    assert_no_personal_data(df.columns, purpose)
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header in every file; spaces at the ends of values are kept."""
     (
