@@ -75,15 +75,31 @@ def assert_registry_covers(
     columns: Iterable[str], known_safe: Collection[str] = (), registry: Registry = REGISTRY
 ) -> None:
     """Refuse a column whose name looks personal but that has no registered treatment."""
-    unknown = sorted(
-        c
-        for c in set(columns)
-        if c not in registry
-        and c not in known_safe
-        and any(fragment in c.lower() for fragment in SUSPICIOUS)
-    )
+    unknown = [c for c in columns if c not in known_safe and _looks_unregistered(c, registry)]
     if unknown:
-        raise ValueError(f"columns {unknown} look personal: register a treatment for them")
+        raise ValueError(f"columns {sorted(unknown)} look personal: register a treatment")
+
+
+def _looks_unregistered(column: str, registry: Registry) -> bool:
+    name = column.lower()
+    return column not in registry and any(fragment in name for fragment in SUSPICIOUS)
+
+
+def unregistered_columns(
+    spark: SparkSession, schema: str, registry: Registry = REGISTRY
+) -> list[tuple[str, str]]:
+    """(table, column) of every suspicious column in a catalog schema, from metadata only.
+
+    The policy's own output columns (``..._pseudonym``, ``..._masked``) are treated already.
+    """
+    return [
+        (table.name, column.name)
+        for table in spark.catalog.listTables(schema)
+        if not table.isTemporary
+        for column in spark.catalog.listColumns(f"{schema}.{table.name}")
+        if _looks_unregistered(column.name, registry)
+        and column.name not in masked_columns([column.name])
+    ]
 
 
 # Read-time masks as SQL. ``member`` says whether the reader belongs to the group that may

@@ -50,7 +50,8 @@ def _gap_sums(within: Column) -> tuple[Column, Column, Column]:
     day = F.when(within, F.col("payment_date"))
     count = F.sum(F.when(within, F.col("n_payments"))) - 1
     total = F.datediff(F.max(day), F.min(day))
-    return count, total, F.sum(F.when(within, gap * gap))
+    squares = F.coalesce(F.sum(F.when(within, gap * gap)), F.lit(0))  # NULL on a first day
+    return count, total, squares
 
 
 def _gap_statistics(within: Column) -> list[Column]:
