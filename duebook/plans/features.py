@@ -219,25 +219,35 @@ def training_set_backfill(
     """Training rows for many days at once: one row per valid case and day.
 
     Gaps only look backwards, so they are computed once for all days. The dates are expanded
-    after the payments are partitioned by case, so more dates cost more arithmetic but shuffle
-    no payment again.
+    after the payments are partitioned by case, and the results are joined to the cases as one
+    short list per case: more dates cost more arithmetic, but not one more shuffled row.
     """
     dates = sorted(set(as_of_dates))
-    horizon = timedelta(days=LABEL_HORIZON_DAYS)
     every_date = F.array(*[F.lit(d) for d in dates])
-    days = payment_days(payments.where(F.col("payment_date") < F.lit(dates[-1] + horizon)))
+    until = dates[-1] + timedelta(days=LABEL_HORIZON_DAYS)
+    days = payment_days(payments.where(F.col("payment_date") < F.lit(until)))
     relevant = F.filter(
         every_date, lambda d: F.col("payment_date") < F.date_add(d, LABEL_HORIZON_DAYS)
     )
-    per_case = (
+    per_date = (
         days.withColumn("as_of_date", F.explode(relevant))
         .groupBy("case_reference", "as_of_date")
         .agg(*_measures(F.col("as_of_date")))
     )
-    known_cases = cases.withColumn("as_of_date", F.explode(every_date))
+    measures = [c for c in per_date.columns if c not in ("case_reference", "as_of_date")]
+    per_case = per_date.groupBy("case_reference").agg(
+        F.collect_list(F.struct("as_of_date", *measures)).alias("_by_date")
+    )
+    dated = join_large(cases, per_case, "case_reference", "left").withColumn(
+        "as_of_date", F.explode(every_date)
+    )
     if "valid_from" in cases.columns:
-        known_cases = known_cases.where(valid_at(F.col("as_of_date")))
-    return _finish(join_large(known_cases, per_case, ["case_reference", "as_of_date"], "left"))
+        dated = dated.where(valid_at(F.col("as_of_date")))
+    of_date = F.filter("_by_date", lambda m: m["as_of_date"] == F.col("as_of_date"))
+    found = dated.withColumn("_found", F.get(of_date, F.lit(0)))
+    return _finish(
+        found.withColumns({m: F.col(f"_found.{m}") for m in measures}).drop("_by_date", "_found")
+    )
 
 
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
