@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook import fixtures as fx
@@ -116,10 +119,13 @@ JOIN (SELECT {NUMBER} % 5 AS bucket, count(*) AS rows FROM v_cases_raw GROUP BY
     )
 )
 def schema_drift_report(spark, sf):
-    """Five originators, each with its own kind of drift, and the rows that arrive with it."""
+    """Five originators, each with its own kind of drift, and the rows that arrive with it.
+
+    Text files show drift of names in their headers; drift of types shows in a typed file.
+    """
     bronze = fx.bronze_cases(spark, sf)
     folder = shared_folder(spark, "feeds")
-    reports, counts = {}, []
+    text_feeds, counts = {}, []
     for bucket, kind in FEED_OF.items():
         rows = bronze.where(fx.case_number() % 5 == bucket)
         feed = rows if kind == "unchanged" else landing.drift_variant(rows, kind)
@@ -127,21 +133,18 @@ def schema_drift_report(spark, sf):
         if kind == "type_change":
             feed.write.parquet(path)
             written = spark.read.parquet(path)
-            schemas = [written.schema]
+            typed = {kind: landing.detect_drift(written.schema, RAW_CASES)}
         else:
             write_csv(feed, path)
-            headers = {tuple(h) for h in landing.read_headers(spark, path).values()}
-            schemas = [landing.text_schema(h) for h in headers]
-            written = spark.read.option("header", True).csv(path)
-        for schema in schemas:
-            reports[kind] = landing.detect_drift(schema, RAW_CASES)
+            text_feeds[kind] = path
+            header = next(iter(landing.read_headers(spark, path).values()))
+            written = spark.read.schema(landing.text_schema(header)).csv(path, header=True)
         counts.append(
             written.agg(F.count(F.lit(1)).alias("rows")).withColumn("feed", F.lit(kind))
         )
-    rows = counts[0]
-    for more in counts[1:]:
-        rows = rows.unionByName(more)
-    return landing.drift_frame(spark, reports).join(rows, "feed")
+    reports = landing.drift_report(spark, text_feeds, RAW_CASES).drop("files")
+    reports = reports.unionByName(landing.drift_frame(spark, typed))
+    return reports.join(reduce(DataFrame.unionByName, counts), "feed")
 
 
 _INGEST_ANSWER = f"""

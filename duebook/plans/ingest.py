@@ -16,7 +16,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.contracts import RAW_CASES, SILVER_CASES
+from duebook.contracts import OPTIONAL_INBOUND, RAW_CASES, SILVER_CASES
 from duebook.operators.privacy import apply_policy, assert_registry_covers
 from duebook.operators.quality import (
     ERROR,
@@ -78,6 +78,14 @@ def ingest_rules(as_of: date) -> list[Rule]:
     return [well_formed, *typing_rules(), *case_rules(as_of)]
 
 
+def with_optional_columns(landed: DataFrame) -> DataFrame:
+    """All columns an originator may add, NULL where it did not: table layouts stay fixed."""
+    absent = sorted(OPTIONAL_INBOUND - set(landed.columns))
+    return landed.withColumns({c: F.lit(None).cast("string") for c in absent}).select(
+        *[c for c in landed.columns if c not in OPTIONAL_INBOUND], *sorted(OPTIONAL_INBOUND)
+    )
+
+
 def checked_cases(landed: DataFrame, as_of: date, pepper: str) -> DataFrame:
     """Landed rows typed, judged, pseudonymised and deduplicated.
 
@@ -118,7 +126,7 @@ def ingest_cases(
     table is partitioned by batch and only that partition is written, so running a batch again
     replaces its rejects.
     """
-    landed = read_landing(spark, landing_path, RAW_CASES, batch_id)
+    landed = with_optional_columns(read_landing(spark, landing_path, RAW_CASES, batch_id))
     assert_registry_covers([c for c in landed.columns if c != CORRUPT], KNOWN_SAFE)
 
     staged = stage(checked_cases(landed, as_of, pepper), f"ingest-{batch_id}", [HAS_ERROR])

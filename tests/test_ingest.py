@@ -91,6 +91,16 @@ def test_a_batch_can_run_again(spark, landing_folder, fresh_name):
     assert {r[0] for r in spark.table(names[0]).select("_batch_id").distinct().collect()} == {"b2"}
 
 
+def test_allowed_columns_may_come_and_go(spark, landing_folder, fresh_name):
+    names = fresh_name("cases"), fresh_name("rejects")
+    run(spark, landing_folder(*GOOD, *BAD[:1]), names)
+    extended = [g + ",gold" for g in GOOD]
+    run(spark, landing_folder(*extended, header=[*NAMES, "segment_code"]), names, batch_id="b2")
+    assert [r[0] for r in spark.table(names[0]).select("segment_code").distinct().collect()] == ["gold"]
+    run(spark, landing_folder(*GOOD), names, batch_id="b3")
+    assert spark.table(names[0]).where("segment_code IS NOT NULL").isEmpty()
+
+
 def test_breaker_stops_before_anything_is_published(spark, landing_folder, fresh_name):
     names = fresh_name("cases"), fresh_name("rejects")
     with pytest.raises(ValueError, match="quarantined"):
