@@ -117,7 +117,7 @@ FROM v_debtors"""
     )
 )
 def sql_mask_function(spark, sf):
-    privacy.create_mask_functions(spark)
+    privacy.create_access_functions(spark)
     return fx.debtors(spark, sf).selectExpr(
         "debtor_key",
         "mask_phone(debtor_phone, true) AS for_operations",
@@ -125,3 +125,20 @@ def sql_mask_function(spark, sf):
         "mask_pseudonym(national_id, false) AS id_for_analysts",
         "mask_pseudonym(national_id, true) AS id_for_engineers",
     )
+
+
+@query(
+    over_views(
+        """
+SELECT case_reference, client_id, 'own' AS rights FROM v_cases WHERE client_id = 'BUILDING'
+UNION ALL SELECT case_reference, client_id, 'all' FROM v_cases"""
+    )
+)
+def sql_row_filter_function(spark, sf):
+    privacy.create_access_functions(spark)
+    cases = fx.cases(spark, sf).select("case_reference", "client_id")
+    own = cases.where("client_row_filter(client_id, array('client-building', 'other'))")
+    everyone = cases.where("client_row_filter(client_id, array('servicing-all-clients'))")
+    return own.withColumn("rights", F.lit("own")).unionByName(
+        everyone.withColumn("rights", F.lit("all"))
+    )

@@ -87,7 +87,7 @@ FROM judged""",
     )
 )
 def dq_metrics(spark, sf):
-    return rule_metrics(_judged(spark, sf), case_rules(RULES_AS_OF))
+    return rule_metrics(fx.cases_with_debtors(spark, sf), case_rules(RULES_AS_OF))
 
 
 @query(

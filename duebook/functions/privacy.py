@@ -24,9 +24,16 @@ def padded_keys(pepper: str) -> tuple[bytes, bytes]:
     return bytes(0x36 ^ b for b in secret), bytes(0x5C ^ b for b in secret)
 
 
+# Every character that counts as whitespace in Unicode text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_whitespace(value: Column) -> Column:
     """Remove leading and trailing whitespace of every kind, not only spaces."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def pseudonym(value: Column, pepper: str) -> Column:
@@ -36,10 +43,10 @@ def pseudonym(value: Column, pepper: str) -> Column:
     person.
     """
     inner_key, outer_key = padded_keys(pepper)
-    text = F.lower(strip_whitespace(value))
-    inner = F.sha2(F.concat(F.lit(inner_key), F.encode(text, "UTF-8")), 256)
+    text = F.nullif(F.lower(strip_whitespace(value)), F.lit(""))
+    inner = F.sha2(F.concat(F.lit(inner_key), text.cast("binary")), 256)
     digest = F.sha2(F.concat(F.lit(outer_key), F.unhex(inner)), 256)
-    return F.when(F.length(text) > 0, F.concat(F.lit(PREFIX), F.substring(digest, 1, 32)))
+    return F.concat(F.lit(PREFIX), F.substring(digest, 1, 32))
 
 
 def last_four(value: Column) -> Column:

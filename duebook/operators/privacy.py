@@ -111,8 +111,21 @@ PHONE_MASK = (
 PSEUDONYM_MASK = "CASE WHEN member THEN value END"
 
 
-def create_mask_functions(spark: SparkSession) -> None:
-    """Register ``mask_phone`` and ``mask_pseudonym`` as SQL functions of the session."""
+CLIENT_FILTER = (
+    f"array_contains(groups, '{ALL_CLIENTS_GROUP}') "
+    f"OR coalesce(array_contains(groups, concat('{CLIENT_GROUP_PREFIX}', lower(client))), false)"
+)
+
+
+def create_access_functions(spark: SparkSession) -> None:
+    """Register ``mask_phone``, ``mask_pseudonym`` and ``client_row_filter`` as SQL functions.
+
+    ``groups`` are those of the reader; open-source Spark knows no account groups.
+    """
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION client_row_filter("
+        f"client STRING, groups ARRAY<STRING>) RETURNS BOOLEAN RETURN {CLIENT_FILTER}"
+    )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION mask_phone(phone STRING, member BOOLEAN) "
         f"RETURNS STRING RETURN {PHONE_MASK}"

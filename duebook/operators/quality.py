@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ERROR = "error"
@@ -29,19 +30,28 @@ class Rule:
     description: str = ""
 
 
+def _fails(rule: Rule) -> Column:
+    return ~F.coalesce(F.expr(rule.passes), F.lit(False))
+
+
+def _any_fails(rules: Sequence[Rule]) -> Column:
+    return reduce(Column.__or__, [_fails(rule) for rule in rules], F.lit(False))
+
+
+def _errors(rules: Sequence[Rule]) -> list[Rule]:
+    return [rule for rule in rules if rule.severity == ERROR]
+
+
 def flag_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the names of the failed rules and whether any of them is an error."""
-    failed = F.array_compact(
-        F.array(
-            *[
-                F.when(~F.coalesce(F.expr(rule.passes), F.lit(False)), F.lit(rule.name))
-                for rule in rules
-            ]
-        )
-    ).cast("array<string>")
-    errors = [F.lit(rule.name) for rule in rules if rule.severity == ERROR]
-    has_error = F.arrays_overlap(F.col(FAILURES), F.array(*errors)) if errors else F.lit(False)
-    return df.withColumn(FAILURES, failed).withColumn(HAS_ERROR, has_error)
+    """Add the names of the failed rules and whether any of them is an error.
+
+    The list is only built for rows that fail something, and the error flag is a plain
+    predicate, so that a filter on it can be pushed towards the scan.
+    """
+    nothing = F.array().cast("array<string>")
+    names = F.array_compact(F.array(*[F.when(_fails(r), F.lit(r.name)) for r in rules]))
+    failed = F.when(_any_fails(rules), names).otherwise(nothing) if rules else nothing
+    return df.select("*", failed.alias(FAILURES), _any_fails(_errors(rules)).alias(HAS_ERROR))
 
 
 def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,19 +66,28 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
     if not rules:
         empty = df.withColumn(FAILURES, F.array().cast("array<string>")).where(F.lit(False))
         return df, empty, rule_metrics(df, rules)
-    flagged = flag_failures(df, rules)
-    return (*split(flagged), rule_metrics(flagged, rules))
+    return (*split(flag_failures(df, rules)), rule_metrics(df, rules))
 
 
-def rule_metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row: total, failures per rule, quarantined. One map-side-combined aggregate."""
-    counts = [F.count(F.lit(1)).alias("rows_total")]
-    counts += [
-        F.count_if(F.array_contains(FAILURES, rule.name)).alias(f"failed_{rule.name}")
-        for rule in rules
-    ]
-    quarantined = F.count_if(F.col(HAS_ERROR)) if rules else F.lit(0).cast("bigint")
-    return flagged.agg(*counts, quarantined.alias("rows_quarantined"))
+def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: total, failures per rule, quarantined. One pass, combined on the map side."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows_total"),
+        *[F.count_if(_fails(rule)).alias(f"failed_{rule.name}") for rule in rules],
+        F.count_if(_any_fails(_errors(rules))).alias("rows_quarantined"),
+    )
+
+
+def recorded_metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The same row from a written result, which may no longer have the rules' columns."""
+    return flagged.agg(
+        F.count(F.lit(1)).alias("rows_total"),
+        *[
+            F.count_if(F.array_contains(FAILURES, rule.name)).alias(f"failed_{rule.name}")
+            for rule in rules
+        ],
+        F.count_if(HAS_ERROR).alias("rows_quarantined"),
+    )
 
 
 def check_error_rate(metrics: Mapping[str, int], threshold: float) -> None:

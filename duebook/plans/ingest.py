@@ -26,12 +26,12 @@ from duebook.operators.quality import (
     check_error_rate,
     dedupe_latest,
     flag_failures,
-    rule_metrics,
+    recorded_metrics,
     split,
 )
 from duebook.plans.publish import publish_parts
 from duebook.sources.landing import CORRUPT, read_landing
-from duebook.sources.storage import stage
+from duebook.sources.storage import staged
 
 QUARANTINE_LIMIT = 0.10
 KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file")
@@ -129,10 +129,10 @@ def ingest_cases(
     landed = with_optional_columns(read_landing(spark, landing_path, RAW_CASES, batch_id))
     assert_registry_covers([c for c in landed.columns if c != CORRUPT], KNOWN_SAFE)
 
-    staged = stage(checked_cases(landed, as_of, pepper), f"ingest-{batch_id}", [HAS_ERROR])
-    metrics = rule_metrics(staged, ingest_rules(as_of)).first().asDict()
-    check_error_rate(metrics, limit)
-
-    clean, rejected = split(staged)
-    publish_parts(clean, rejected, batch_id, clean_table, quarantine_table, table_folder)
+    checked = checked_cases(landed, as_of, pepper)
+    with staged(checked, f"ingest-{batch_id}", [HAS_ERROR]) as rows:
+        metrics = recorded_metrics(rows, ingest_rules(as_of)).first().asDict()
+        check_error_rate(metrics, limit)
+        clean, rejected = split(rows)
+        publish_parts(clean, rejected, batch_id, clean_table, quarantine_table, table_folder)
     return Ingested(clean_table, quarantine_table, metrics)

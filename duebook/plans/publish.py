@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from duebook.contracts import conform
 from duebook.operators.quality import FAILURES, HAS_ERROR, split
 from duebook.plans.features import training_set_backfill
-from duebook.sources.storage import replace_partition, stage, write_table
+from duebook.sources.storage import replace_partition, staged, write_table
 
 
 def publish_parts(
@@ -44,9 +44,9 @@ def publish_fact(
 
     The fact is computed once, into shared storage, and published from there in two parts.
     """
-    staged = stage(conform(fact, contract, batch_id), f"publish-{table}", [HAS_ERROR])
-    clean, rejected = split(staged)
-    publish_parts(clean.drop(FAILURES), rejected, batch_id, table, quarantine_table, folder)
+    with staged(conform(fact, contract, batch_id), f"publish-{table}", [HAS_ERROR]) as rows:
+        clean, rejected = split(rows)
+        publish_parts(clean.drop(FAILURES), rejected, batch_id, table, quarantine_table, folder)
 
 
 def publish_training_set(
@@ -57,9 +57,9 @@ def publish_training_set(
     folder: str | None = None,
 ) -> None:
     """Write or replace the training rows of the given days; other days in the table stay."""
-    rows = training_set_backfill(payments, cases, as_of_dates)
-    staged = stage(rows, f"publish-{table}", ["as_of_date"])
     path = f"{folder.rstrip('/')}/{table}" if folder else None
-    for day in sorted(set(as_of_dates)):
-        of_day = staged.where(F.col("as_of_date") == F.lit(day))
-        replace_partition(of_day, table, "as_of_date", day, path)
+    built = training_set_backfill(payments, cases, as_of_dates)
+    with staged(built, f"publish-{table}", ["as_of_date"]) as rows:
+        for day in sorted(set(as_of_dates)):
+            of_day = rows.where(F.col("as_of_date") == F.lit(day))
+            replace_partition(of_day, table, "as_of_date", day, path)

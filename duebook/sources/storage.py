@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,18 +96,38 @@ def replace_partition(
     )
 
 
-def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Compute ``df`` once into shared storage and read it from there.
-
-    For plans that are published in several parts. The written files end the lineage, so a
-    lost executor repeats at most its own tasks of the later steps.
-    """
+def _write_stage(df: DataFrame, purpose: str, partition_by: Sequence[str]) -> str:
     assert_no_personal_data(df.columns, purpose)
     path = shared_folder(df.sparkSession, purpose)
     df.write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
+def _read_stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Compute ``df`` once into shared storage and read it from there.
+
+    For plans that are used in several parts. The written files end the lineage, so a lost
+    executor repeats at most its own tasks of the later steps.
+    """
+    return _read_stage(df, _write_stage(df, purpose, partition_by))
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a ``with`` block; the staged files are removed after it."""
+    path = _write_stage(df, purpose, partition_by)
+    try:
+        yield _read_stage(df, path)
+    finally:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header in every file; spaces at the ends of values are kept."""
     (

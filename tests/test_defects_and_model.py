@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duebook.operators import defects
-from duebook.operators.quality import case_rules, rule_metrics, flag_failures
+from duebook.operators.quality import case_rules, rule_metrics
 from duebook.plans import features, model
 
 
@@ -43,7 +43,7 @@ def test_generation_does_not_depend_on_partitions(spark, cases):
 
 def test_rules_find_the_defects(cases):
     rules = case_rules(date(2024, 6, 30))
-    row = rule_metrics(flag_failures(cases, rules), rules).first()
+    row = rule_metrics(cases, rules).first()
     assert row["failed_balance_not_above_original"] > 100
     assert row["failed_currency_supported"] > 10
 

@@ -1,3 +1,4 @@
+import pathlib
 from datetime import date
 
 import pytest
@@ -106,6 +107,8 @@ def test_breaker_stops_before_anything_is_published(spark, landing_folder, fresh
     with pytest.raises(ValueError, match="quarantined"):
         run(spark, landing_folder(*GOOD, *BAD), names, limit=0.10)
     assert not any(spark.catalog.tableExists(n) for n in names)
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not list(shared.glob("ingest-*")), "staged rows are removed"
 
 
 def test_personal_looking_column_stops_the_batch(spark, landing_folder, fresh_name):
@@ -115,7 +118,8 @@ def test_personal_looking_column_stops_the_batch(spark, landing_folder, fresh_na
 
 
 def test_silver_casts_are_visible(spark, ansi):
-    row = dict.fromkeys(NAMES) | {"case_reference": "C", "portfolio_id": "P", "default_date": "1.1.2024", "current_balance": "7"}
+    row = dict.fromkeys(NAMES) | {"case_reference": "C", "portfolio_id": "P"}
+    row |= {"default_date": "1.1.2024", "current_balance": "7"}
     df = spark.createDataFrame([tuple(row[n] for n in NAMES)], RAW_CASES)
     out = silver_cases(df).first()
     assert out[FAILURES] == ["default_date_readable"]

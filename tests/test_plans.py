@@ -5,7 +5,13 @@ from datetime import date
 import pytest
 
 from duebook import fixtures as fx
-from duebook.operators.quality import case_rules, flag_failures, rule_metrics, split
+from duebook.operators.quality import (
+    case_rules,
+    flag_failures,
+    payment_rules,
+    rule_metrics,
+    split,
+)
 from duebook.plans import facts, features
 
 AS_OF = date(1999, 1, 1)
@@ -77,12 +83,17 @@ def test_gap_statistics_window_sees_days_not_payments(silver):
 
 def test_rules_take_one_pass(silver, spark, sf_dir):
     debtors = fx.debtors(spark, sf_dir)
-    judged = flag_failures(
-        silver["cases"].join(debtors, "debtor_key"), case_rules(AS_OF)
-    )
-    metrics = rule_metrics(judged, case_rules(AS_OF))
+    people = silver["cases"].join(debtors, "debtor_key")
+    metrics = rule_metrics(people, case_rules(AS_OF))
     assert plan(metrics).count("FileScan") == 2
-    assert shuffles(split(judged)[0]) == 0
+    clean, _ = split(flag_failures(people, case_rules(AS_OF)))
+    assert shuffles(clean) == 0
+
+
+def test_filter_on_the_verdict_does_not_build_the_list_of_names(silver):
+    rejected = split(flag_failures(silver["payments"], payment_rules(AS_OF)))[1]
+    text = plan(rejected.select("payment_id"))
+    assert "array" not in text
 
 
 def test_investing_windows_run_on_months(silver):

@@ -19,16 +19,24 @@ def expected(value, pepper):
 
 
 @pytest.mark.parametrize("pepper", ["k", "p" * 64, "long" * 50, "zażółć"])
-@pytest.mark.parametrize("value", ["80010112345", "  ABC123 ", "\tMixed Case\n", "Łódź"])
+@pytest.mark.parametrize("value", ["80010112345", "  ABC123 ", "\tMixed Case\n", "\u00a0Łódź\u3000"])
 def test_pseudonym_is_standard_hmac(spark, value, pepper):
     assert first(spark, lambda c: pseudonym(c, pepper), value) == expected(value, pepper)
 
 
-@pytest.mark.parametrize("value", [None, "", "   ", "\t\n"])
+@pytest.mark.parametrize("value", [None, "", "   ", "\t\n", "\u2003"])
 def test_missing_id_stays_missing(spark, value):
     assert first(spark, lambda c: pseudonym(c, "k"), value) is None
 
 
+def test_whitespace_set_is_complete():
+    import sys
+
+    from duebook.functions.privacy import WHITESPACE
+
+    assert {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()} == set(WHITESPACE)
+
+
 def test_pseudonym_depends_on_pepper(spark):
     assert first(spark, lambda c: pseudonym(c, "a"), "1") != first(
         spark, lambda c: pseudonym(c, "b"), "1"

@@ -14,6 +14,7 @@ from duebook.operators.quality import (
     dedupe_latest,
     flag_failures,
     payment_rules,
+    recorded_metrics,
 )
 
 AS_OF = date(2024, 6, 30)
@@ -62,6 +63,8 @@ def test_warnings_stay_clean_and_parts_cover_the_input(cases):
     assert row["rows_total"] == 6 and row["rows_quarantined"] == 3
     assert row["failed_national_id_or_contact_present"] == 2
     assert row["failed_case_reference_present"] == 1
+    recorded = recorded_metrics(flag_failures(cases, case_rules(AS_OF)), case_rules(AS_OF))
+    assert recorded.first() == row
 
 
 def test_null_condition_fails(spark):
