@@ -45,12 +45,20 @@ def as_of_slice(df: DataFrame, as_of: date) -> DataFrame:
     return df.where(valid_at(F.lit(as_of))) if "valid_from" in df.columns else df
 
 
-def join_valid_version(facts: DataFrame, versions: DataFrame, key: str, at: str) -> DataFrame:
+def join_valid_version(
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
     """Left join the version of ``versions`` that was valid at ``facts[at]``.
 
     Equality on the key with the range as a residual condition, so it plans as a hash or
     merge join on the key and never as a nested loop.
     """
-    dimension = broadcast_if_small(versions.withColumnRenamed(key, "_version_key"))
+    dimension = broadcast_if_small(
+        versions.withColumnRenamed(key, "_version_key"), broadcast_max_rows
+    )
     on = (F.col(key) == F.col("_version_key")) & valid_at(F.col(at))
     return facts.join(dimension, on, "left").drop("_version_key", "valid_from", "valid_to")

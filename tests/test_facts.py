@@ -218,6 +218,23 @@ def test_valid_version_join_never_multiplies(spark, contracts):
     ]
 
 
+def test_large_version_tables_are_merged_with_the_same_result(spark, contracts):
+    days = spark.createDataFrame(
+        [("A", date(2024, 6, 9), 1), ("A", date(2024, 6, 10), 2), ("B", date(2024, 6, 10), 3)],
+        "client_id string, day date, n int",
+    )
+    small = join_valid_version(days, contracts, "client_id", "day")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = join_valid_version(days, contracts, "client_id", "day", broadcast_max_rows=0)
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "NestedLoop" not in plan
+        assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_broadcast_only_below_the_bound(spark):
     plan = lambda df: df._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan(broadcast_if_small(spark.range(10), max_rows=10))
