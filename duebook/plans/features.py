@@ -133,7 +133,9 @@ def trailing_sums(payments: DataFrame, as_of: date) -> DataFrame:
 def _trailing(as_of: Column, days: int, known: Column | None = None) -> Column:
     recent = F.col("payment_date") >= F.date_sub(as_of, days)
     recent = recent if known is None else known & recent
-    return F.sum(F.when(recent, F.col("amount")).otherwise(0)).alias(f"amount_paid_{days}d")
+    # Sums skip NULL, so the many older payments cost no decimal addition.
+    paid = F.coalesce(F.sum(F.when(recent, F.col("amount"))), F.lit(0))
+    return paid.alias(f"amount_paid_{days}d")
 
 
 def distinct_months_paid(payments: DataFrame) -> DataFrame:
