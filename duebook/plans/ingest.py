@@ -16,7 +16,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.contracts import OPTIONAL_INBOUND, RAW_CASES, SILVER_CASES
+from duebook.contracts import OPTIONAL_INBOUND, PAYMENTS, RAW_CASES, SILVER_CASES
 from duebook.operators.privacy import apply_policy, assert_registry_covers
 from duebook.operators.quality import (
     ERROR,
@@ -26,6 +26,7 @@ from duebook.operators.quality import (
     check_error_rate,
     dedupe_latest,
     flag_failures,
+    payment_rules,
     recorded_metrics,
     split,
 )
@@ -34,6 +35,7 @@ from duebook.sources.landing import CORRUPT, read_landing
 from duebook.sources.storage import staged
 
 QUARANTINE_LIMIT = 0.10
+_OWN_KEY = "_own_key"
 KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file")
 
 _CAST_TARGETS = {
@@ -89,23 +91,33 @@ def with_optional_columns(landed: DataFrame) -> DataFrame:
 def checked_cases(landed: DataFrame, as_of: date, pepper: str) -> DataFrame:
     """Landed rows typed, judged, pseudonymised and deduplicated.
 
-    Rows that cannot be keyed (malformed, or without a reference) are all kept for quarantine:
-    each gets a number of its own as part of the key, which also spreads them over tasks.
     The raw text of a malformed line may hold personal data and is dropped.
     """
     judged = drop_lost_flags(flag_failures(type_cases(landed), ingest_rules(as_of)))
-    unkeyed = F.col(CORRUPT).isNotNull() | F.coalesce(
-        F.length(F.trim("case_reference")) == 0, F.lit(True)
-    )
-    protected = apply_policy(
-        judged.withColumn(
-            "_own_key", F.when(unkeyed, F.monotonically_increasing_id())
-        ).drop(CORRUPT),
-        pepper,
-    )
-    return dedupe_latest(protected, ["case_reference", "_own_key"], ["_source_file"]).drop(
-        "_own_key"
-    )
+    protected = apply_policy(_number_unkeyed(judged, "case_reference").drop(CORRUPT), pepper)
+    return dedupe_latest(protected, ["case_reference", _OWN_KEY], ["_source_file"]).drop(_OWN_KEY)
+
+
+def _number_unkeyed(landed: DataFrame, key: str) -> DataFrame:
+    """Give every row that cannot be keyed (malformed, or without ``key``) a key of its own.
+
+    Such rows are all kept for quarantine, and the numbers spread them over tasks. Numbering
+    happens in the file scan, where a repeated task sees the same rows in the same order.
+    """
+    blank = F.coalesce(F.length(F.trim(key)) == 0, F.lit(True))
+    unkeyed = F.col(CORRUPT).isNotNull() | blank
+    return landed.withColumn(_OWN_KEY, F.when(unkeyed, F.monotonically_increasing_id()))
+
+
+def silver_payments(landed: DataFrame, as_of: date) -> DataFrame:
+    """Landed payments (already typed by their contract) judged, latest version per payment."""
+    rules = [
+        Rule("row_well_formed", f"{CORRUPT} IS NULL", ERROR),
+        *[Rule(f"{f.name}_not_null", f"{f.name} IS NOT NULL") for f in PAYMENTS if not f.nullable],
+        *payment_rules(as_of),
+    ]
+    judged = _number_unkeyed(flag_failures(landed, rules), "payment_id").drop(CORRUPT)
+    return dedupe_latest(judged, ["payment_id", _OWN_KEY], ["payment_date"]).drop(_OWN_KEY)
 
 
 def ingest_cases(

@@ -4,11 +4,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from duebook.contracts import RAW_CASES
+from duebook.contracts import PAYMENTS, RAW_CASES
 from duebook.operators.privacy import forbidden_columns
 from duebook.operators.quality import FAILURES
-from duebook.plans.ingest import ingest_cases, silver_cases
+from duebook.plans.ingest import ingest_cases, silver_cases, silver_payments
 from duebook.plans.publish import publish_training_set
+from duebook.sources.landing import read_landing
 
 NAMES = RAW_CASES.fieldNames()
 AS_OF = date(2024, 6, 30)
@@ -140,3 +141,30 @@ def test_training_days_replace_only_themselves(spark, fresh_name):
         date(2024, 2, 1): 2,
         date(2024, 3, 1): 2,
     }
+
+
+def test_silver_payments(spark, tmp_path, ansi):
+    lines = [
+        ",".join(PAYMENTS.fieldNames()),
+        "P1,C1,2024-01-01,10.00,CARD",
+        "P1,C1,2024-01-02,11.00,CARD",
+        "P2,C1,2030-01-01,-1.00,CARD",
+        "P3,C1,2024-01-01,lots,CARD",
+        "P3,C1,2024-01-01,lots,CARD",
+        ",C1,2024-01-01,5.00,CARD",
+        ",C1,2024-01-01,5.00,CARD",
+        "P4,,1999-01-01,5.00,CARD",
+    ]
+    (tmp_path / "p.csv").write_text("\n".join(lines) + "\n")
+    rows = silver_payments(read_landing(spark, str(tmp_path), PAYMENTS, "b"), AS_OF).collect()
+    found = sorted((r["payment_id"] or "", str(r["amount"]), ",".join(r[FAILURES])) for r in rows)
+    unreadable = "row_well_formed,amount_not_null,payment_amount_positive"
+    assert found == [
+        ("", "5.00", "payment_id_not_null"),
+        ("", "5.00", "payment_id_not_null"),
+        ("P1", "11.00", ""),
+        ("P2", "-1.00", "payment_amount_positive,payment_date_not_future"),
+        ("P3", "None", unreadable),
+        ("P3", "None", unreadable),
+        ("P4", "5.00", "case_reference_not_null,payment_date_plausible"),
+    ]
