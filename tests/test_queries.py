@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from duebook import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = driver.queries()
-ANSWERS = driver.oracle_sql()
+QUERIES = catalog.QUERIES
+ANSWERS = catalog.ANSWERS
 SLOW = {"train_propensity"}
 
 
@@ -63,6 +64,8 @@ def test_entry_has_rows(spark):
 
 def test_every_answer_has_a_query():
     assert set(ANSWERS) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
