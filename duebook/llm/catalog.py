@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import host_rules
+from duebook.llm import host_rules, source_mix
 from duebook.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judged(measures).select(
         "row.doc_id", *host_rules.MEASURES, "base_failed", "kept"
     )
+
+
+@query()
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = staged(source_mix.sized(docs, F.struct("row.doc_id")), "mix-sizes")
+    return source_mix.mixed(rows).select("row.doc_id", "size", "source_size", "target", "taken")
