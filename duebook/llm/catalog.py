@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import host_rules, source_mix
+from duebook.llm import host_rules, source_mix, url_rules
 from duebook.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,39 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     rows = staged(source_mix.sized(docs, F.struct("row.doc_id")), "mix-sizes")
     return source_mix.mixed(rows).select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+URL_RULES_SQL = r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), h AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p
+), sites(rule, verdict, site, prefix) AS (
+  VALUES ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
+         ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')
+), found AS (
+  SELECT page_id, host, path, max_by(rule, length(rule)) AS rule, max_by(s.verdict, length(rule)) AS site
+  FROM h LEFT JOIN sites s
+    ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, prefix)
+  GROUP BY ALL
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN site IS NOT NULL THEN site
+            WHEN contains(host || path, '/docs/') THEN 'allow'
+            WHEN regexp_matches(host || path,
+              '/login/|/cart/|/search/.*/page/|/tag/|blog\..*/es/|/wp-admin/|\.zip') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM found
+"""
+
+
+@query(URL_RULES_SQL)
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = url_rules.SITE_RULES + url_rules.PATTERN_RULES
+    return url_rules.judged(pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
