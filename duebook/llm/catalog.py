@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import host_rules, source_mix, url_rules
+from duebook.llm import host_rules, near_copies, source_mix, url_rules
 from duebook.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,12 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = url_rules.SITE_RULES + url_rules.PATTERN_RULES
     return url_rules.judged(pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return near_copies.grouped(docs, near_copies.Likeness(words=3, percent=85)).select(
+        "doc_id", "n_shingles", "component_id", kept.alias("kept")
+    )
