@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import host_rules, near_copies, source_mix, url_rules
+from duebook.llm import host_rules, near_copies, pieces, source_mix, url_rules
 from duebook.llm.common import staged, table
 
+#: Public vocabularies; a folder of the same files may stand anywhere.
+TOKENIZERS = "/opt/tokenizers"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
 
@@ -129,3 +132,11 @@ def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.grouped(docs, near_copies.Likeness(words=3, percent=85)).select(
         "doc_id", "n_shingles", "component_id", kept.alias("kept")
     )
+
+
+@query()
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encoded(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select(
+        "row.doc_id", "n_tokens", "round_trip", "ids"
+    )
