@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import host_rules, near_copies, pieces, source_mix, url_rules
+from duebook.llm import host_rules, near_copies, personal_data, pieces, source_mix, url_rules
 from duebook.llm.common import staged, table
 
 #: Public vocabularies; a folder of the same files may stand anywhere.
@@ -140,3 +140,11 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select(
         "row.doc_id", "n_tokens", "round_trip", "ids"
     )
+
+
+@query()
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.detected(docs).select(
+        "row.doc_id", *(f"n_{kind}" for kind in personal_data.KINDS), "base_sha256", "spans"
+    )

@@ -7,7 +7,7 @@ its chunks (a run of spaces and what follows) one after another. Equal chunks of
 once; the trie walk and the Viterbi steps run over all chunks of a batch together.
 
 A character without a piece costs the lowest score less 10 and becomes byte pieces. Of paths with the same
-score the one found first stays: earlier starts first, as in the reference implementation of the format.
+score the one found first stays; places are worked off from the left, short pieces before long ones.
 
 Edge cases. NULL and empty texts have no ids and decode to an empty text. A marker character (U+2581)
 written in the text itself is encoded as byte pieces, so decoding gives it back and not a space. Texts of any

@@ -361,8 +361,8 @@ def mixed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
 def drawn_rows(mixture: DataFrame) -> DataFrame:
     """The mix itself: the taken pieces of every document, grouped by shard and shuffled there.
 
-    ``row.text`` becomes the piece and ``row.n_chars`` its length; pieces of one epoch that follow
-    each other in the document are joined again before they are cut out of it.
+    ``row.text`` becomes the piece and ``row.n_chars`` its length. Blocks of one epoch that follow each
+    other in the document travel together to the shard of the first: a document taken whole stays whole.
     """
     joined = F.aggregate(
         F.array_sort(F.transform("parts", lambda x: F.struct(x["epoch"], x["begin"], x["words"], x["shard"], x["turn"]))),
@@ -370,7 +370,6 @@ def drawn_rows(mixture: DataFrame) -> DataFrame:
         lambda done, x: F.when(
             (F.size(done) > 0)
             & (F.get(done, F.size(done) - 1)["epoch"] == x["epoch"])
-            & (F.get(done, F.size(done) - 1)["shard"] == x["shard"])
             & (F.get(done, F.size(done) - 1)["begin"] + F.get(done, F.size(done) - 1)["words"] == x["begin"]),
             F.concat(
                 F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
@@ -379,7 +378,7 @@ def drawn_rows(mixture: DataFrame) -> DataFrame:
                         x["epoch"].alias("epoch"),
                         F.get(done, F.size(done) - 1)["begin"].alias("begin"),
                         (F.get(done, F.size(done) - 1)["words"] + x["words"]).alias("words"),
-                        x["shard"].alias("shard"),
+                        F.get(done, F.size(done) - 1)["shard"].alias("shard"),
                         F.get(done, F.size(done) - 1)["turn"].alias("turn"),
                     )
                 ),
