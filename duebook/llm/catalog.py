@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import host_rules, near_copies, personal_data, pieces, source_mix, url_rules
+from duebook.llm import (
+    host_rules,
+    metric_tree,
+    near_copies,
+    personal_data,
+    pieces,
+    source_mix,
+    url_rules,
+)
 from duebook.llm.common import staged, table
 
 #: Public vocabularies; a folder of the same files may stand anywhere.
@@ -148,3 +156,24 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.detected(docs).select(
         "row.doc_id", *(f"n_{kind}" for kind in personal_data.KINDS), "base_sha256", "spans"
     )
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query(TOP_K_SQL)
+def op3_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = metric_tree.integers(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return metric_tree.top_k(rows, F.col("vec_id") % 50 == 0)
