@@ -6,7 +6,7 @@
 2. *Equal sets.* Documents with the same shingle set (128-bit digest and size) are one node, the
    smallest id; copies cost no pair, however many there are.
 3. *Bands.* Nodes that agree in all registers of a band meet in a bucket. First, every node is paired
-   with the smallest of its bucket only: a line of pairs, not a square. Pairs pass the Jaccard estimate
+   with the lead of its bucket only: a line of pairs, not a square. Pairs pass the Jaccard estimate
    (agreements corrected for chance collisions of registers) and are confirmed on their full sets.
 4. *Rest.* After joining what is confirmed, only nodes of one bucket in different components can still
    be linked. They are compared by sketch in tiles of bounded size, all of them, and what passes is
@@ -142,6 +142,26 @@ def _banded(nodes: DataFrame, like: Likeness) -> DataFrame:
     return banded.select(F.explode("buckets").alias("bucket"), "node")
 
 
+def _buckets(nodes: DataFrame, like: Likeness) -> DataFrame:
+    """(bucket, node, lead) of every bucket with two nodes or more.
+
+    The lead is the node that meets most others over all its buckets: the text that a group's copies
+    were made from is close to all of them, while two copies differ in the edits of both. Pairs with
+    the lead then connect a group that pairs with just any member would leave in pieces.
+    """
+    bands = _banded(nodes, like)
+    sizes = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = staged(bands.join(sizes, "bucket"), "near-copy-buckets")
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    leads = (
+        shared.join(met, "node")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("met", (-F.col("node")).alias("least"))).alias("most"))
+        .select("bucket", (-F.col("most.least")).alias("lead"))
+    )
+    return staged(shared.select("bucket", "node").join(leads, "bucket"), "near-copy-leads")
+
+
 def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Jaccard similarity from agreeing registers, less the agreements that chance brings.
 
@@ -242,8 +262,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _across(shared: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """Likely pairs of one bucket in different components, its smallest node left out (it has
-    been compared with everyone)."""
+    """Likely pairs of one bucket in different components, its lead left out (it has been
+    compared with everyone)."""
     rows = (
         shared.where("node <> lead")
         .join(labels, "node", "left")
@@ -309,12 +329,11 @@ def grouped(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     ids = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
     same_id = members.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
 
-    bands = _banded(nodes, like)
-    leads = bands.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("n"))
-    shared = staged(
-        bands.join(leads.where("n > 1").select("bucket", "lead"), "bucket"), "near-copy-buckets"
-    )
-    pairs = shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    shared = _buckets(nodes, like)
+    pairs = (
+        shared.where("node <> lead")
+        .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+    )
     likely = staged(_likely(pairs, nodes, like), "near-copy-pairs")
     edges = staged(_confirmed(likely, nodes, docs, like).union(same_id), "near-copy-links")
     labels = components(edges)
