@@ -9,8 +9,9 @@
    with the lead of its bucket only: a line of pairs, not a square. Pairs pass the Jaccard estimate
    (agreements corrected for chance collisions of registers) and are confirmed on their full sets.
 4. *Rest.* After joining what is confirmed, only nodes of one bucket in different components can still
-   be linked. They are compared by sketch in tiles of bounded size, all of them, and what passes is
-   confirmed as before. So no link among candidates is lost, and no group is expanded into pairs.
+   be linked. They are compared by sketch in tiles of bounded size, all of them, and the nodes with a
+   likely partner once more on their full sets. So no link among candidates is lost, and no group is
+   expanded into pairs.
 
 At the threshold itself a pair misses all bands with a chance of about 10^-6 or less (38 bands of 5),
 and the estimate drops it with about 10^-7 (five standard deviations).
@@ -47,7 +48,7 @@ class Likeness:
     bands: int = 38
     rows: int = 5
     deviations: float = 5.0
-    tile: int = 256
+    tile: int = 128
     seed: int = 7
 
     @property
@@ -117,7 +118,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def _banded(nodes: DataFrame, like: Likeness) -> DataFrame:
-    """(bucket, node) for every band of every node."""
+    """(band, bucket, node) for every band of every node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, like.bands + 1, dtype=np.uint64))
@@ -139,11 +140,11 @@ def _banded(nodes: DataFrame, like: Likeness) -> DataFrame:
             )
 
     banded = nodes.select("node", "registers").mapInArrow(run, "node long, buckets array<long>")
-    return banded.select(F.explode("buckets").alias("bucket"), "node")
+    return banded.select(F.posexplode("buckets").alias("band", "bucket"), "node")
 
 
 def _buckets(nodes: DataFrame, like: Likeness) -> DataFrame:
-    """(bucket, node, lead) of every bucket with two nodes or more.
+    """(band, bucket, node, lead) of every bucket with two nodes or more.
 
     The lead is the node that meets most others over all its buckets: the text that a group's copies
     were made from is close to all of them, while two copies differ in the edits of both. Pairs with
@@ -159,17 +160,17 @@ def _buckets(nodes: DataFrame, like: Likeness) -> DataFrame:
         .agg(F.max(F.struct("met", (-F.col("node")).alias("least"))).alias("most"))
         .select("bucket", (-F.col("most.least")).alias("lead"))
     )
-    return staged(shared.select("bucket", "node").join(leads, "bucket"), "near-copy-leads")
+    return staged(shared.select("band", "bucket", "node").join(leads, "bucket"), "near-copy-leads")
 
 
-def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _likeness(same: np.ndarray) -> np.ndarray:
     """Jaccard similarity from agreeing registers, less the agreements that chance brings.
 
     Unequal minima share a register if they have the same leading zeros (about one in three for
     sets of like size) and the same mantissa bits.
     """
     chance = 1 / (3 << MANTISSA)
-    return ((a == b).mean(axis=-1) - chance) / (1 - chance)
+    return (same.mean(axis=-1) - chance) / (1 - chance)
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
@@ -183,7 +184,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
                 np.frombuffer(b"".join(batch[c].to_pylist()), "<u2").reshape(-1, like.registers)
                 for c in ("ra", "rb")
             )
-            likely = pa.array(_estimate(left, right) >= like.least_estimate)
+            likely = pa.array(_likeness(left == right) >= like.least_estimate)
             yield batch.select(["a", "b"]).filter(likely)
 
     def side(name: str) -> DataFrame:
@@ -195,6 +196,17 @@ def _likely(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     )
 
 
+def _texts(asked: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes asked for."""
+    rows = (
+        nodes.join(asked.select("node").distinct(), "node", "left_semi")
+        .select(F.col("node").alias("doc_id"), "text_hash")
+        .join(keyed(docs), ["doc_id", "text_hash"])
+        .dropDuplicates(["doc_id"])
+    )
+    return staged(rows.select(F.col("doc_id").alias("node"), "text"), "near-copy-texts")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     """Pairs that reach the threshold on their full shingle sets."""
 
@@ -208,14 +220,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, like: Likene
                 linked.append(100 * both >= like.percent * (len(one) + len(two) - both))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = (
-        nodes.join(asked, "node", "left_semi")
-        .select(F.col("node").alias("doc_id"), "text_hash")
-        .join(keyed(docs), ["doc_id", "text_hash"])
-        .dropDuplicates(["doc_id"])
-    )
-    texts = staged(rows.select(F.col("doc_id").alias("node"), "text"), "near-copy-texts")
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs)
 
     def side(name: str) -> DataFrame:
         return texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
@@ -261,9 +266,13 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _across(shared: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """Likely pairs of one bucket in different components, its lead left out (it has been
-    compared with everyone)."""
+def _suspects(shared: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
+    """Nodes that may still be linked across components: (bucket, i, j, tile, node, component).
+
+    Buckets are compared by sketch in tiles, their leads left out (they have been compared with
+    everyone). A node is a suspect in a tile if a likely partner of another component is there and
+    no earlier band brings the two together. Nodes leave a tile, never pairs.
+    """
     rows = (
         shared.where("node <> lead")
         .join(labels, "node", "left")
@@ -281,30 +290,85 @@ def _across(shared: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likene
         .withColumn("tile", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
-            "bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
+            "band", "bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
             "tile", "node", "component",
         )
         .join(nodes.select("node", "registers"), "node")
     )
 
     def run(group: pa.Table) -> pa.Table:
-        node, comp, tile = (group[c].to_numpy() for c in ("node", "component", "tile"))
+        comp, tile = group["component"].to_numpy(), group["tile"].to_numpy()
         rows = np.frombuffer(b"".join(group["registers"].to_pylist()), "<u2")
         rows = rows.reshape(-1, like.registers)
         one, two = group["i"][0].as_py(), group["j"][0].as_py()
-        left = np.flatnonzero(tile == one)
-        right = left if one == two else np.flatnonzero(tile == two)
-        found: tuple[list, list] = ([], [])
-        for x in left:
-            others = right[(comp[right] != comp[x]) & ((node[right] > node[x]) | (one != two))]
-            if len(others):
-                others = others[_estimate(rows[others], rows[x]) >= like.least_estimate]
-                found[0].append(np.minimum(node[others], node[x]))
-                found[1].append(np.maximum(node[others], node[x]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
-        return pa.table({"a": a, "b": b})
+        right = np.flatnonzero(tile == two)
+        suspect = np.zeros(len(tile), bool)
+        for x in np.flatnonzero(tile == one):
+            others = right[comp[right] != comp[x]]
+            same = rows[others] == rows[x]
+            likely = _likeness(same) >= like.least_estimate
+            others, same = others[likely], same[likely]
+            first = same.reshape(len(same), like.bands, like.rows).all(axis=2).argmax(axis=1)
+            others = others[first == group["band"][0].as_py()]
+            suspect[others] = True
+            suspect[x] |= len(others) > 0
+        return group.filter(pa.array(suspect)).select(
+            ["bucket", "i", "j", "tile", "node", "component"]
+        )
+
+    kind = "bucket long, i int, j int, tile int, node long, component long"
+    return tiled.groupBy("bucket", "i", "j").applyInArrow(run, kind)
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections of a tile's sets, from blocks of their incidence matrix."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    number = np.cumsum(np.diff(values, prepend=values[:1]) != 0)
+    counts = np.zeros((len(sets), len(sets)))
+    for at in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
+        a, b = np.searchsorted(number, [at, at + 4096])
+        block = np.zeros((len(sets), 4096), np.float32)
+        block[owner[a:b], number[a:b] - at] = 1
+        counts += block @ block.T
+    return np.rint(counts).astype(np.int64)
+
+
+def _linked_across(suspects: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """Links between components among the suspects of each tile, confirmed on full sets: (a, b).
+
+    Of the links that join the same components one is returned, so a tile gives fewer links than nodes.
+    """
 
-    return tiled.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    def run(group: pa.Table) -> pa.Table:
+        node, comp, tile = (group[c].to_numpy() for c in ("node", "component", "tile"))
+        sets = list(shingle_sets(group["text"], like.words))
+        sizes = np.array([len(s) for s in sets])
+        both = common_counts(sets)
+        linked = 100 * both >= like.percent * (sizes[:, None] + sizes - both)
+        linked &= comp[:, None] != comp
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        found: list[tuple[int, int]] = []
+        for x, y in zip(*(k.tolist() for k in np.nonzero(np.triu(linked)))):
+            one, two = find(int(comp[x])), find(int(comp[y]))
+            if one != two:
+                root[max(one, two)] = min(one, two)
+                found.append((int(node[x]), int(node[y])))
+        return pa.table(
+            {"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())}
+        )
+
+    return (
+        suspects.join(texts, "node").groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
+    )
 
 
 def grouped(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -338,9 +402,9 @@ def grouped(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     edges = staged(_confirmed(likely, nodes, docs, like).union(same_id), "near-copy-links")
     labels = components(edges)
 
-    rest = staged(_across(shared, labels, nodes, like), "near-copy-rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, nodes, docs, like)
+    suspects = staged(_suspects(shared, labels, nodes, like), "near-copy-suspects")
+    if not suspects.isEmpty():
+        more = _linked_across(suspects, _texts(suspects, nodes, docs), like)
         labels = components(
             labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
         )
