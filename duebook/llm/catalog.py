@@ -14,12 +14,17 @@ from duebook.llm import (
     personal_data,
     pieces,
     source_mix,
+    token_scan,
     url_rules,
 )
 from duebook.llm.common import staged, table
 
 #: Public vocabularies; a folder of the same files may stand anywhere.
 TOKENIZERS = "/opt/tokenizers"
+#: Fixed values that belong to byte_bpe_50k.tiktoken: what splits a text before the merges, and the free
+#: identifier that ends a document.
+BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+END_OF_DOCUMENT = 50256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -177,3 +182,15 @@ FROM s QUALIFY rank <= 5
 def op3_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = metric_tree.integers(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return metric_tree.top_k(rows, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = token_scan.ranks_of(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    files = staged(token_scan.packed_files(docs, ranks, BYTE_PATTERN, END_OF_DOCUMENT), "token-files")
+    return (
+        token_scan.scanned(files, END_OF_DOCUMENT)
+        .join(token_scan.named(files), ["file", "doc_index"])
+        .select("doc_id", "n_tokens", "file", "doc_index", "start", "ended")
+    )
