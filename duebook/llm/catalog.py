@@ -11,6 +11,7 @@ from duebook.llm import (
     host_rules,
     metric_tree,
     near_copies,
+    page_text,
     personal_data,
     pieces,
     source_mix,
@@ -194,3 +195,8 @@ def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(token_scan.named(files), ["file", "doc_index"])
         .select("doc_id", "n_tokens", "file", "doc_index", "start", "ended")
     )
+
+
+@query()
+def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extracted(table(spark, sf_dir, "pages"))
