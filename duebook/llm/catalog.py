@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm import (
+    context_mixing,
     host_rules,
     metric_tree,
     near_copies,
@@ -200,3 +201,8 @@ def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
