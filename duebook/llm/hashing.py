@@ -19,7 +19,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers["up"]) < n:
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(max(n, PIECE + 4096), base, np.uint64)
@@ -80,7 +80,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         following = np.zeros(len(part), bool)
         following[:-1] = first[1:]
         stop = np.flatnonzero(solid & (~after | following)) + 1
-        up, down = _power_tables(len(part) + 1)
+        up, down = power_tables(len(part) + 1)
         total = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_RANDOM[part] * up[: len(part)], out=total[1:])
         hashes.append(mix((total[stop] - total[start]) * down[start]))
