@@ -48,7 +48,7 @@ class Likeness:
     bands: int = 38
     rows: int = 5
     deviations: float = 5.0
-    tile: int = 128
+    tile: int = 512
     seed: int = 7
 
     @property
