@@ -18,7 +18,7 @@ from duebook.sources import landing
 from duebook.sources.storage import shared_folder, write_csv, write_table
 
 COLUMNS = RAW_CASES.fieldNames()
-NUMBER = "CAST(substr(case_reference, 6, 9) AS BIGINT)"
+NUMBER = "CAST(substr(case_reference, 6) AS BIGINT)"
 
 BRONZE = f"""
 SELECT case_reference, portfolio_id, national_id, debtor_name, debtor_email, debtor_phone,

@@ -130,9 +130,9 @@ SELECT case_reference, original_balance, TRY_CAST(balance_text AS DECIMAL(18,2))
               THEN 'current_balance_readable' END,
          CASE WHEN date_text IS NOT NULL AND TRY_CAST(date_text AS DATE) IS NULL
               THEN 'default_date_readable' END) AS failures
-FROM (SELECT *, CASE WHEN CAST(substr(case_reference, 6, 9) AS BIGINT) % 700 = 11 THEN 'n/a'
+FROM (SELECT *, CASE WHEN CAST(substr(case_reference, 6) AS BIGINT) % 700 = 11 THEN 'n/a'
                      ELSE CAST(current_balance AS VARCHAR) END AS balance_text,
-                CASE WHEN CAST(substr(case_reference, 6, 9) AS BIGINT) % 900 = 17 THEN '2001-13-45'
+                CASE WHEN CAST(substr(case_reference, 6) AS BIGINT) % 900 = 17 THEN '2001-13-45'
                      ELSE CAST(default_date AS VARCHAR) END AS date_text FROM v_cases_raw)"""
     )
 )
@@ -257,7 +257,22 @@ def table_health(spark, sf):
     )
 
 
-@query()
+_VALUES = ", ".join(
+    f"coalesce(concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), 'N')"
+    for c in ("case_reference", "line_no", "payment_id", "payment_date", "amount", "channel")
+)
+
+
+@query(
+    over_views(
+        f"""
+SELECT count(*) AS rows, concat_ws('-',
+         CAST(sum(CAST(CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS VARCHAR),
+         CAST(sum(CAST(CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS DECIMAL(38,0))) AS VARCHAR)
+       ) AS content_hash, CAST(NULL AS VARCHAR) AS latest_batch
+FROM (SELECT md5(concat_ws('|', {_VALUES})) AS digest FROM v_payments_raw)"""
+    )
+)
 def snapshot_fingerprint(spark, sf):
     return fingerprint(fx.payments_raw(spark, sf))
 

@@ -6,34 +6,23 @@ DataFrame versions that the registered queries read.
 
 from __future__ import annotations
 
-import json
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from duebook.functions.text import zero_padded
 from duebook.operators.quality import dedupe_latest
 
 
-@lru_cache(maxsize=None)
-def _schema_json(path: str) -> str:
-    """Schema of a table, read from its footers only once per process."""
-    return SparkSession.active().read.parquet(path).schema.json()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    schema = StructType.fromJson(json.loads(_schema_json(path)))
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def case_number(reference: str = "case_reference") -> Column:
-    return F.substring(reference, 6, 9).cast("bigint")
+    return F.expr(f"substring({reference}, 6)").cast("bigint")
 
 
 def _case_reference(key: str) -> Column:
-    return F.concat(F.lit("CASE_"), F.lpad(F.col(key).cast("string"), 9, "0"))
+    return F.concat(F.lit("CASE_"), zero_padded(F.col(key).cast("string"), 9))
 
 
 def _date(text: str) -> Column:
@@ -69,7 +58,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         _case_reference("o_orderkey").alias("case_reference"),
-        F.concat(F.lit("PF_"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias(
+        F.concat(F.lit("PF_"), zero_padded(F.col("c_nationkey").cast("string"), 2)).alias(
             "portfolio_id"
         ),
         F.col("c_mktsegment").alias("client_id"),
@@ -123,7 +112,7 @@ def portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn(
             "purchase_date",
             F.date_add(
-                _date("1996-01-01"), F.substring("portfolio_id", 4, 2).cast("int") * 20
+                _date("1996-01-01"), F.expr("substring(portfolio_id, 4)").cast("int") * 20
             ),
         )
         .select("portfolio_id", "purchase_date", "purchase_price", "gross_face_value")
@@ -176,7 +165,7 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data with NULL, blank, padded and too-short values."""
     key = F.col("c_custkey")
-    identity = F.lpad((key * 7919).cast("string"), 11, "0")
+    identity = zero_padded((key * 7919).cast("string"), 11)
     national_id = (
         F.when(key % 20 == 0, F.lit(None).cast("string"))
         .when(key % 20 == 1, "   ")
@@ -187,7 +176,7 @@ def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
         key % 10 != 4, F.concat(F.lit("Debtor"), key.cast("string"), F.lit("@Example.invalid"))
     )
     phone = F.when(key % 50 == 9, "12").otherwise(
-        F.concat(F.lit("+48 "), F.lpad(((key * 104729) % 1000000000).cast("string"), 9, "0"))
+        F.concat(F.lit("+48 "), zero_padded(((key * 104729) % 1000000000).cast("string"), 9))
     )
     return table(spark, sf_dir, "customer").select(
         key.alias("debtor_key"),
@@ -196,7 +185,7 @@ def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
         email.alias("debtor_email"),
         phone.alias("debtor_phone"),
         F.concat(F.lit("Street "), key.cast("string")).alias("debtor_address"),
-        F.lpad((key % 100).cast("string"), 2, "0").alias("postcode_area"),
+        zero_padded((key % 100).cast("string"), 2).alias("postcode_area"),
     )
 
 

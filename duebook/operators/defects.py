@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.contracts import MONEY
+from duebook.functions.text import zero_padded
 
 HOT_PORTFOLIO = "PORTFOLIO_000"
 CHANNELS = ("BANK_TRANSFER", "CARD", "DIRECT_DEBIT")
@@ -97,18 +98,18 @@ def generate_cases(
     cents = 50_000 + hash_number(one, 0) % 5_000_000
     owed = (cents / 100).cast(MONEY)
     currencies = F.array(*[F.lit(c) for c in ("PLN", "EUR", "SEK")])
-    portfolio = (hash_number(one, 1) % (n_portfolios - 1) + 1).cast("string")
+    portfolio = (hash_number(one, 1) % max(1, n_portfolios - 1) + 1).cast("string")
     clean = spark.range(n_cases).select(
-        F.concat(F.lit("CASE_"), F.lpad(number, 9, "0")).alias("case_reference"),
-        F.concat(F.lit("PORTFOLIO_"), F.lpad(portfolio, 3, "0")).alias("portfolio_id"),
-        F.lpad((hash_number(one, 2) * 373).cast("string"), 11, "0").alias("national_id"),
+        F.concat(F.lit("CASE_"), zero_padded(number, 9)).alias("case_reference"),
+        F.concat(F.lit("PORTFOLIO_"), zero_padded(portfolio, 3)).alias("portfolio_id"),
+        zero_padded((hash_number(one, 2) * 373).cast("string"), 11).alias("national_id"),
         F.concat(F.lit("Debtor "), number).alias("debtor_name"),
         F.concat(F.lit("debtor"), number, F.lit("@example.invalid")).alias("debtor_email"),
-        F.concat(F.lit("+48"), F.lpad(hash_number(one, 3).cast("string"), 9, "0")).alias(
+        F.concat(F.lit("+48"), zero_padded(hash_number(one, 3).cast("string"), 9)).alias(
             "debtor_phone"
         ),
         F.concat(F.lit("Street "), number).alias("debtor_address"),
-        F.lpad((hash_number(two, 0) % 99).cast("string"), 2, "0").alias("postcode_area"),
+        zero_padded((hash_number(two, 0) % 99).cast("string"), 2).alias("postcode_area"),
         owed.alias("original_balance"),
         (owed * (hash_number(two, 1) % 10_000).cast("decimal(5,0)") / 10_000)
         .cast(MONEY)
@@ -126,7 +127,7 @@ def generate_payments(
     cases: DataFrame, payments_per_case: float = 3.0, backdated_rate: float = 0.03
 ) -> DataFrame:
     """1 to ``2 * payments_per_case`` payments per case, some dated before the default."""
-    most = int(payments_per_case * 2)
+    most = max(1, int(payments_per_case * 2))
     case_digest = F.md5(F.concat(F.lit("n:"), F.col("case_reference")))
     how_many = (hash_number(case_digest) % most + 1).cast("int")
     rows = (

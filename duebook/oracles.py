@@ -7,8 +7,8 @@ from __future__ import annotations
 
 VIEWS: dict[str, str] = {
     "v_cases": """
-SELECT concat('CASE_', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS case_reference,
-       concat('PF_', lpad(CAST(c_nationkey AS STRING), 2, '0')) AS portfolio_id,
+SELECT concat('CASE_', lpad(CAST(o_orderkey AS STRING), CAST(greatest(9, length(CAST(o_orderkey AS STRING))) AS INT), '0')) AS case_reference,
+       concat('PF_', lpad(CAST(c_nationkey AS STRING), CAST(greatest(2, length(CAST(c_nationkey AS STRING))) AS INT), '0')) AS portfolio_id,
        c_mktsegment AS client_id, c_custkey AS debtor_key,
        CAST(o_totalprice AS DECIMAL(18,2)) AS original_balance,
        CASE WHEN o_orderkey % 100 = 7 THEN CAST(-10 AS DECIMAL(18,2))
@@ -25,9 +25,9 @@ SELECT concat('CASE_', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS case_referen
             ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 45 AS INT) END AS first_contact_date
 FROM orders JOIN customer ON o_custkey = c_custkey""",
     "v_payments_raw": """
-SELECT concat('CASE_', lpad(CAST(l_orderkey AS STRING), 9, '0')) AS case_reference,
+SELECT concat('CASE_', lpad(CAST(l_orderkey AS STRING), CAST(greatest(9, length(CAST(l_orderkey AS STRING))) AS INT), '0')) AS case_reference,
        l_linenumber AS line_no,
-       concat('CASE_', lpad(CAST(l_orderkey AS STRING), 9, '0'), '_P', CAST(l_linenumber AS STRING)) AS payment_id,
+       concat('CASE_', lpad(CAST(l_orderkey AS STRING), CAST(greatest(9, length(CAST(l_orderkey AS STRING))) AS INT), '0'), '_P', CAST(l_linenumber AS STRING)) AS payment_id,
        CAST(l_shipdate AS DATE) AS payment_date,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
        CASE l_returnflag WHEN 'A' THEN 'BANK_TRANSFER' WHEN 'N' THEN 'CARD' ELSE 'DIRECT_DEBIT' END AS channel
@@ -37,7 +37,7 @@ SELECT case_reference, payment_id, payment_date, amount, channel FROM (
   SELECT *, row_number() OVER (PARTITION BY payment_id ORDER BY payment_date DESC, amount DESC, channel DESC) AS rn
   FROM v_payments_raw) t WHERE rn = 1""",
     "v_portfolios": """
-SELECT portfolio_id, DATE '1996-01-01' + CAST(CAST(substr(portfolio_id, 4, 2) AS INT) * 20 AS INT) AS purchase_date,
+SELECT portfolio_id, DATE '1996-01-01' + CAST(CAST(substr(portfolio_id, 4) AS INT) * 20 AS INT) AS purchase_date,
        CASE WHEN portfolio_id = 'PF_23' THEN CAST(0 AS DECIMAL(18,2))
             ELSE CAST(sum(original_balance) * CAST(0.12 AS DECIMAL(9,6)) AS DECIMAL(18,2)) END AS purchase_price,
        CAST(sum(original_balance) AS DECIMAL(18,2)) AS gross_face_value
@@ -58,23 +58,23 @@ SELECT DISTINCT c_mktsegment, CAST(0.100000 AS DECIMAL(9,6)),
     "v_debtors": """
 SELECT c_custkey AS debtor_key,
        CASE WHEN c_custkey % 20 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 20 = 1 THEN '   '
-            WHEN c_custkey % 20 = 2 THEN concat(' ', lpad(CAST(c_custkey * 7919 AS STRING), 11, '0'), ' ')
-            ELSE lpad(CAST(c_custkey * 7919 AS STRING), 11, '0') END AS national_id,
+            WHEN c_custkey % 20 = 2 THEN concat(' ', lpad(CAST(c_custkey * 7919 AS STRING), CAST(greatest(11, length(CAST(c_custkey * 7919 AS STRING))) AS INT), '0'), ' ')
+            ELSE lpad(CAST(c_custkey * 7919 AS STRING), CAST(greatest(11, length(CAST(c_custkey * 7919 AS STRING))) AS INT), '0') END AS national_id,
        c_name AS debtor_name,
        CASE WHEN c_custkey % 10 = 4 THEN CAST(NULL AS STRING)
             ELSE concat('Debtor', CAST(c_custkey AS STRING), '@Example.invalid') END AS debtor_email,
        CASE WHEN c_custkey % 50 = 9 THEN '12'
-            ELSE concat('+48 ', lpad(CAST((c_custkey * 104729) % 1000000000 AS STRING), 9, '0')) END AS debtor_phone,
+            ELSE concat('+48 ', lpad(CAST((c_custkey * 104729) % 1000000000 AS STRING), CAST(greatest(9, length(CAST((c_custkey * 104729) % 1000000000 AS STRING))) AS INT), '0')) END AS debtor_phone,
        concat('Street ', CAST(c_custkey AS STRING)) AS debtor_address,
-       lpad(CAST(c_custkey % 100 AS STRING), 2, '0') AS postcode_area
+       lpad(CAST(c_custkey % 100 AS STRING), CAST(greatest(2, length(CAST(c_custkey % 100 AS STRING))) AS INT), '0') AS postcode_area
 FROM customer""",
     "v_cases_raw": """
 SELECT * FROM v_cases UNION ALL
-SELECT * FROM v_cases WHERE CAST(substr(case_reference, 6, 9) AS BIGINT) % 50 = 0""",
+SELECT * FROM v_cases WHERE CAST(substr(case_reference, 6) AS BIGINT) % 50 = 0""",
     "v_cases_skewed": """
 SELECT case_reference,
-       CASE WHEN CAST(substr(case_reference, 6, 9) AS BIGINT) % 10 < 4 THEN 'PF_00'
-            WHEN CAST(substr(case_reference, 6, 9) AS BIGINT) % 100 = 77 THEN CAST(NULL AS STRING)
+       CASE WHEN CAST(substr(case_reference, 6) AS BIGINT) % 10 < 4 THEN 'PF_00'
+            WHEN CAST(substr(case_reference, 6) AS BIGINT) % 100 = 77 THEN CAST(NULL AS STRING)
             ELSE portfolio_id END AS portfolio_id, original_balance
 FROM v_cases""",
 }

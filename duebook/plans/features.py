@@ -222,7 +222,9 @@ def training_set_backfill(
 
     Gaps only look backwards, so they are computed once for all days. The dates are expanded
     after the payments are partitioned by case, and the results are joined to the cases as one
-    short list per case: more dates cost more arithmetic, but not one more shuffled row.
+    list per case: more dates cost more arithmetic, but not one more shuffled row. A payment that
+    counts for one date counts for every later one, so a case's list ends with the last date and its
+    entry for any date is found by its place; the list is taken apart as the rows are made.
     """
     dates = sorted(set(as_of_dates))
     every_date = F.array(*[F.lit(d) for d in dates])
@@ -238,17 +240,20 @@ def training_set_backfill(
     )
     measures = [c for c in per_date.columns if c not in ("case_reference", "as_of_date")]
     per_case = per_date.groupBy("case_reference").agg(
-        F.collect_list(F.struct("as_of_date", *measures)).alias("_by_date")
+        F.array_sort(F.collect_list(F.struct("as_of_date", *measures))).alias("_by_date")
     )
-    dated = join_large(cases, per_case, "case_reference", "left").withColumn(
-        "as_of_date", F.explode(every_date)
+    first = len(dates) - F.coalesce(F.size("_by_date"), F.lit(0))
+    by_date = F.transform(
+        every_date,
+        lambda d, i: F.struct(d.alias("as_of_date"), F.get("_by_date", i - first).alias("_found")),
+    )
+    dated = join_large(cases, per_case, "case_reference", "left").select(
+        *[F.col(c) for c in cases.columns], F.inline(by_date)
     )
     if "valid_from" in cases.columns:
         dated = dated.where(valid_at(F.col("as_of_date")))
-    of_date = F.filter("_by_date", lambda m: m["as_of_date"] == F.col("as_of_date"))
-    found = dated.withColumn("_found", F.get(of_date, F.lit(0)))
     return _finish(
-        found.withColumns({m: F.col(f"_found.{m}") for m in measures}).drop("_by_date", "_found")
+        dated.withColumns({m: F.col(f"_found.{m}") for m in measures}).drop("_found")
     )
 
 
@@ -268,15 +273,18 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
 def leakage_check(payments: DataFrame, cases: DataFrame, as_of: date) -> DataFrame:
     """Do the features of ``as_of`` change when later payments are added?
 
-    One row per feature build. The point-in-time build must show 0 changed rows; the naive
-    one shows how many cases would have leaked.
+    One row per feature build, with the rows that appear and the rows that disappear. The
+    point-in-time build must show 0 of both; the naive one shows how many cases would have leaked.
     """
     history = payments.where(F.col("payment_date") < F.lit(as_of))
+    none = F.lit(0).cast("bigint")
     checks = [
         changed_rows(build(history, cases, as_of), build(payments, cases, as_of))
-        .where(F.col("copies") > 0)
-        .agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_changed"))
-        .select(F.lit(name).alias("build"), "rows_changed")
+        .agg(
+            F.coalesce(F.sum(F.greatest("copies", none)), none).alias("rows_added"),
+            F.coalesce(F.sum(F.greatest(-F.col("copies"), none)), none).alias("rows_removed"),
+        )
+        .select(F.lit(name).alias("build"), "rows_added", "rows_removed")
         for name, build in (("point_in_time", features_pit), ("naive", features_naive))
     ]
     return checks[0].unionByName(checks[1])

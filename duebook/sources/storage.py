@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,17 +14,14 @@ from duebook.operators.privacy import assert_no_personal_data
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder that all executors can reach, below ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder.
+    """A new folder that all executors can reach: below ``spark.checkpoint.dir``, or below the
+    warehouse of a session that has no such setting. Never a folder of one machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
     )
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="duebook-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -129,11 +125,12 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Ite
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header in every file; spaces at the ends of values are kept."""
+    """CSV with a header in every file; quotes are doubled, spaces at the ends of values kept."""
     (
         df.write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
         .mode("error")
         .csv(path)
     )
@@ -156,12 +153,23 @@ def create_reference_tables(
 def snapshot_fingerprint(df: DataFrame, batch_column: str | None = None) -> DataFrame:
     """One row that identifies the content of a table, whatever the order of its rows.
 
-    Row hashes are summed as decimals, so copies count and the sum cannot wrap around.
+    A row's digest takes every value with its length, and NULL as a mark of its own, so a value that
+    moves to another column shows. Two numbers of each digest are summed as decimals: copies
+    count, and the sums cannot wrap around.
     """
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    values = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    marked = [
+        F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("N")) for v in values
+    ]
+    digest = F.md5(F.concat_ws("|", *marked))
+
+    def total(part: int) -> Column:
+        number = F.conv(F.substring("_digest", 1 + 15 * part, 15), 16, 10).cast("decimal(38,0)")
+        return F.coalesce(F.sum(number), F.lit(0)).cast("string")
+
     batch = F.max(batch_column) if batch_column else F.lit(None).cast("string")
-    return df.agg(
+    return df.withColumn("_digest", digest).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("content_hash"),
+        F.concat_ws("-", total(0), total(1)).alias("content_hash"),
         batch.alias("latest_batch"),
     )

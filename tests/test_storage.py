@@ -60,7 +60,7 @@ def test_csv_keeps_spaces_quotes_and_nulls(spark, tmp_path):
     rows = [(" a ", 'say "x", y', None), ("b", "", "c")]
     df = spark.createDataFrame(rows, "p string, q string, r string")
     storage.write_csv(df, str(tmp_path / "csv"))
-    back = spark.read.option("header", True).schema(df.schema).csv(str(tmp_path / "csv"))
+    back = spark.read.options(header=True, escape='"').schema(df.schema).csv(str(tmp_path / "csv"))
     assert sorted(map(tuple, back.collect())) == sorted([rows[0], ("b", None, "c")])
 
 
@@ -71,7 +71,16 @@ def test_fingerprint_ignores_order_but_counts_copies(spark):
     ).first()
     assert print_of(rows, 1) == print_of(rows[::-1], 7)
     assert print_of(rows, 1) != print_of(rows + rows[:1], 1)
-    assert print_of([], 1)["content_hash"] == "0"
+    assert print_of([], 1)["content_hash"] == "0-0"
+
+
+def test_fingerprint_sees_a_value_that_moves(spark):
+    schema = "a string, b string"
+    prints = {
+        storage.snapshot_fingerprint(spark.createDataFrame([row], schema)).first()["content_hash"]
+        for row in [(None, "x"), ("x", None), ("x", ""), ("", "x"), ("N", "x"), ("x|1:y", "z"), ("x", "y")]
+    }
+    assert len(prints) == 7
 
 
 def test_reference_tables_are_typed_and_created_once(spark):
