@@ -71,7 +71,7 @@ def scan_landing_csv(spark, sf):
     write_csv(fx.bronze_cases(spark, sf), path)
     landed = landing.read_landing(spark, path, RAW_CASES, "batch-1")
     readable, _ = landing.split_malformed(landed)
-    return readable.drop("_ingested_at", "_source_file")
+    return readable.drop("_ingested_at", "_source_file", "_arrived_at")
 
 
 @query(
@@ -120,13 +120,13 @@ FEED_OF = {0: "unchanged", 1: "additive", 2: "missing", 3: "rename", 4: "type_ch
 @query(
     over_views(
         f"""
-SELECT d.feed, d.change, d.column_name, d.expected_type, d.found_type, n.rows
-FROM (VALUES ('additive', 'added', 'originator_score', NULL, NULL, 1),
-             ('missing', 'missing', 'currency', NULL, NULL, 2),
-             ('rename', 'added', 'debtor_mobile', NULL, NULL, 3),
-             ('rename', 'missing', 'debtor_phone', NULL, NULL, 3),
-             ('type_change', 'type_changed', 'current_balance', 'string', 'decimal(18,2)', 4))
-     d(feed, change, column_name, expected_type, found_type, bucket)
+SELECT d.feed, d.change, d.column_name, d.expected_type, d.found_type, d.refused, n.rows
+FROM (VALUES ('additive', 'added', 'originator_score', NULL, 'string', false, 1),
+             ('missing', 'missing', 'currency', 'string', NULL, true, 2),
+             ('rename', 'added', 'debtor_mobile', NULL, 'string', true, 3),
+             ('rename', 'missing', 'debtor_phone', 'string', NULL, true, 3),
+             ('type_change', 'type_changed', 'current_balance', 'string', 'decimal(18,2)', true, 4))
+     d(feed, change, column_name, expected_type, found_type, refused, bucket)
 JOIN (SELECT {NUMBER} % 5 AS bucket, count(*) AS rows FROM v_cases_raw GROUP BY 1) n
   ON d.bucket = n.bucket"""
     )
@@ -146,17 +146,20 @@ def schema_drift_report(spark, sf):
         if kind == "type_change":
             feed.write.parquet(path)
             written = spark.read.parquet(path)
-            typed = {kind: landing.detect_drift(written.schema, RAW_CASES)}
+            changes = landing.schema_changes(written.schema, RAW_CASES)
+            typed = [(kind, *c, bool(landing.refused([c]))) for c in changes]
         else:
             write_csv(feed, path)
             text_feeds[kind] = path
-            header = next(iter(landing.read_headers(spark, path).values()))
-            written = spark.read.schema(landing.text_schema(header)).csv(path, header=True)
+            scans = [scan.select(landing.CORRUPT, scan.columns[0]) for _, scan in landing.scans_by_header(spark, path)]
+            written = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
         counts.append(
             written.agg(F.count(F.lit(1)).alias("rows")).withColumn("feed", F.lit(kind))
         )
     reports = landing.drift_report(spark, text_feeds, RAW_CASES).drop("files")
-    reports = reports.unionByName(landing.drift_frame(spark, typed))
+    reports = reports.unionByName(
+        spark.createDataFrame(typed, f"feed string, {landing.CHANGE_SCHEMA}, refused boolean")
+    )
     return reports.join(reduce(DataFrame.unionByName, counts), "feed")
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook import fixtures as fx
@@ -190,14 +194,35 @@ def check_not_empty(spark, sf):
     return spark.createDataFrame(rows, "table_name string, passed boolean")
 
 
-@query(over_views("SELECT count(*) > 0 AS loaded, count(*) > 0 AS fresh FROM v_payments"))
+@query(
+    over_views(
+        """
+SELECT * FROM (VALUES ('just loaded', true, true), ('day old', true, true), ('stale', true, false),
+                      ('unstamped', false, false)) t(table_name, loaded, fresh)
+WHERE EXISTS (SELECT 1 FROM v_payments)"""
+    )
+)
 def check_freshness(spark, sf):
-    """The load time differs in every run, so only the verdict is shown."""
-    age = health.freshness(conform(_servicing(spark, sf), SERVICING_FACT, "batch-1"))
-    return age.select(
-        F.col("latest").isNotNull().alias("loaded"),
-        (F.col("age_hours") <= health.MAX_AGE_HOURS).alias("fresh"),
+    """The servicing fact as it is 1, 26 and 27 hours after its load, and without a load time."""
+    loaded = datetime(2024, 7, 1, 6)
+    fact = conform(_servicing(spark, sf), SERVICING_FACT, "batch-1").withColumn(
+        "_ingested_at", F.lit(loaded)
     )
+    seen = {
+        "just loaded": (fact, 1),
+        "day old": (fact, health.MAX_AGE_HOURS),
+        "stale": (fact, health.MAX_AGE_HOURS + 1),
+        "unstamped": (fact.drop("_ingested_at"), 1),
+    }
+    found = [
+        health.freshness(df, now=loaded + timedelta(hours=hours)).select(
+            F.lit(name).alias("table_name"),
+            F.col("latest").isNotNull().alias("loaded"),
+            F.coalesce(F.col("age_hours") <= health.MAX_AGE_HOURS, F.lit(False)).alias("fresh"),
+        )
+        for name, (df, hours) in seen.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(

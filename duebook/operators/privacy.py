@@ -147,6 +147,9 @@ def masked_columns(columns: Iterable[str]) -> dict[str, str]:
     return masks
 
 
+MOST_GROUPS = 10_000
+
+
 def masked(df: DataFrame, groups: Collection[str]) -> DataFrame:
     """``df`` as a member of ``groups`` may see it: one projection, pushed into the scan."""
     hidden = {n: g for n, g in masked_columns(df.columns).items() if g not in groups}
@@ -172,22 +175,24 @@ def create_masked_view(
 
 
 def visible_rows(
-    df: DataFrame, entitlements: DataFrame, principal: str, key: str = "client_id"
+    df: DataFrame,
+    entitlements: DataFrame,
+    principal: str,
+    key: str = "client_id",
+    most_groups: int = MOST_GROUPS,
 ) -> DataFrame:
     """Rows of the clients that ``principal`` may see.
 
     ``entitlements`` has (principal, group_name). A member of the all-clients group sees
-    every row, others those of ``client-<lower-case id>``. Both tests become semi joins
-    against the few groups of one principal.
+    every row, others those of ``client-<lower-case id>``. The groups of one principal are read
+    first; up to ``most_groups`` of them become a list in the filter, which runs in the scan. A
+    principal with more is matched by a semi join of the fact with the groups.
     """
     groups = entitlements.where(F.col("principal") == principal).select("group_name").distinct()
-    return df.sparkSession.sql(
-        f"""
-        SELECT * FROM {{df}}
-        WHERE EXISTS (SELECT 1 FROM {{groups}} WHERE group_name = :everyone)
-           OR concat(:prefix, lower({key})) IN (SELECT group_name FROM {{groups}})
-        """,
-        args={"everyone": ALL_CLIENTS_GROUP, "prefix": CLIENT_GROUP_PREFIX},
-        df=df,
-        groups=groups,
-    )
+    known = [row["group_name"] for row in groups.limit(most_groups + 1).collect()]
+    own = F.concat(F.lit(CLIENT_GROUP_PREFIX), F.lower(key))
+    if len(known) <= most_groups:
+        return df if ALL_CLIENTS_GROUP in known else df.where(own.isin(known))
+    if not groups.where(F.col("group_name") == ALL_CLIENTS_GROUP).isEmpty():
+        return df
+    return df.join(groups, own == F.col("group_name"), "left_semi")

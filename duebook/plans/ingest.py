@@ -36,7 +36,7 @@ from duebook.sources.storage import staged
 
 QUARANTINE_LIMIT = 0.10
 _OWN_KEY = "_own_key"
-KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file")
+KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file", "_arrived_at")
 
 _CAST_TARGETS = {
     f.name: f.dataType
@@ -95,7 +95,7 @@ def checked_cases(landed: DataFrame, as_of: date, pepper: str) -> DataFrame:
     """
     judged = drop_lost_flags(flag_failures(type_cases(landed), ingest_rules(as_of)))
     protected = apply_policy(_number_unkeyed(judged, "case_reference").drop(CORRUPT), pepper)
-    return dedupe_latest(protected, ["case_reference", _OWN_KEY], ["_source_file"]).drop(_OWN_KEY)
+    return _latest_arrival(protected, "case_reference")
 
 
 def _number_unkeyed(landed: DataFrame, key: str) -> DataFrame:
@@ -109,6 +109,12 @@ def _number_unkeyed(landed: DataFrame, key: str) -> DataFrame:
     return landed.withColumn(_OWN_KEY, F.when(unkeyed, F.monotonically_increasing_id()))
 
 
+def _latest_arrival(rows: DataFrame, key: str, *then: str) -> DataFrame:
+    """The version of each key from the file that arrived last; its path only decides a tie."""
+    latest = dedupe_latest(rows, [key, _OWN_KEY], ["_arrived_at", "_source_file", *then])
+    return latest.drop(_OWN_KEY, "_arrived_at")
+
+
 def silver_payments(landed: DataFrame, as_of: date) -> DataFrame:
     """Landed payments (already typed by their contract) judged, latest version per payment."""
     rules = [
@@ -117,7 +123,7 @@ def silver_payments(landed: DataFrame, as_of: date) -> DataFrame:
         *payment_rules(as_of),
     ]
     judged = _number_unkeyed(flag_failures(landed, rules), "payment_id").drop(CORRUPT)
-    return dedupe_latest(judged, ["payment_id", _OWN_KEY], ["payment_date"]).drop(_OWN_KEY)
+    return _latest_arrival(judged, "payment_id", "payment_date")
 
 
 def ingest_cases(

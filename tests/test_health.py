@@ -56,3 +56,21 @@ def test_one_scan_per_table(spark, publish):
     spec = health.TableSpec(publish([("a", Decimal(1))]), ("k",), ("amount",))
     plan = health.table_health(spark, [spec])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_absent_columns_are_failed_findings(spark):
+    df = spark.createDataFrame([(1, 2.0)], "k int, m double")
+    spec = health.TableSpec("t", ("k", "gone"), ("m", "lost"))
+    found = {r["check_name"]: (r["passed"], r["detail"]) for r in health.check_table(df, spec).collect()}
+    assert found["fresh"] == (False, "no column _ingested_at")
+    assert found["grain_unique"] == (False, "no column gone")
+    assert found["no_negative_money"] == (False, "no column lost")
+    assert found["not_empty"] == (True, "")
+
+
+def test_age_is_measured_from_the_given_time(spark):
+    df = spark.sql("SELECT 1 AS k, TIMESTAMP'2024-01-01 00:00:00' AS _ingested_at")
+    for hour, fresh in ((20, True), (27, False)):
+        now = datetime(2024, 1, 1 + hour // 24, hour % 24)
+        rows = health.check_table(df, health.TableSpec("t", ("k",)), now=now).collect()
+        assert {r["check_name"]: r["passed"] for r in rows}["fresh"] == fresh

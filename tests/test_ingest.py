@@ -168,3 +168,18 @@ def test_silver_payments(spark, tmp_path, ansi):
         ("P3", "None", unreadable),
         ("P4", "5.00", "case_reference_not_null,payment_date_plausible"),
     ]
+
+
+def test_the_file_that_arrived_last_wins_whatever_its_name(spark, tmp_path):
+    import os
+
+
+    header = ",".join(PAYMENTS.fieldNames())
+    for name, amount, day, arrived in (("p_9", "50.00", "03", 1_000), ("p_10", "10.00", "01", 2_000)):
+        file = tmp_path / f"{name}.csv"
+        file.write_text(f"{header}\nP1,C1,2024-01-{day},{amount},CARD\n")
+        os.utime(file, (arrived, arrived))
+    landed = read_landing(spark, str(tmp_path), PAYMENTS, "b1")
+    rows = silver_payments(landed, date(2024, 6, 1)).collect()
+    assert [str(r["amount"]) for r in rows] == ["10.00"]
+    assert "_arrived_at" not in rows[0].asDict()
