@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from duebook import fixtures as fx
 from duebook.catalog.registry import money, query
-from duebook.contracts import SERVICING_FACT, conform
+from duebook.contracts import INVESTING_FACT, SERVICING_FACT, conform
 from duebook.operators.joins import as_of_slice, join_large, join_valid_version
 from duebook.operators.quality import FAILURES
 from duebook.oracles import SERVICING_SELECT, over_views
@@ -142,7 +142,46 @@ def fct_investing(spark, sf):
         fx.portfolios(spark, sf),
         fx.forecast_curve(spark, sf),
     )
-    return money(out, "collections_actual")
+    return conform(out, INVESTING_FACT, "batch-1").select(*out.columns)
+
+
+@query(
+    over_views(
+        """
+SELECT l.portfolio_id, l.as_of_month, concat_ws(',',
+    CASE WHEN l.big AND 9000000000000000 * 2 * CAST(c.forecast_pct AS DOUBLE) >= 1e16
+         THEN 'collections_forecast_fits_type' END,
+    CASE WHEN l.big AND 9000000000000000 * 2 * CAST(c.forecast_pct AS DOUBLE) - CAST(l.cum AS DOUBLE) >= 1e16
+         THEN 'erc_remaining_fits_type' END,
+    CASE WHEN l.big AND CAST(l.cum AS DOUBLE) >= 1000 THEN 'money_multiple_fits_type' END) AS failures
+FROM (SELECT *, portfolio_id = 'PF_01' AS big FROM life) l
+LEFT JOIN v_curve c ON l.portfolio_id = c.portfolio_id AND l.months_on_book = c.months_on_book""",
+        *_INVESTING_STEPS,
+    )
+)
+def conform_investing(spark, sf):
+    """PF_01 bought for 1.00 with a face value near the limit of its type: what no longer fits is
+    named row by row, and nothing becomes zero or NULL without a name."""
+    huge = F.col("portfolio_id") == "PF_01"
+    money_type = "decimal(18,2)"
+    portfolios = fx.portfolios(spark, sf).withColumns(
+        {
+            "gross_face_value": F.when(huge, F.lit("9000000000000000.00").cast(money_type))
+            .otherwise(F.col("gross_face_value")).cast(money_type),
+            "purchase_price": F.when(huge, F.lit("1.00").cast(money_type))
+            .otherwise(F.col("purchase_price")).cast(money_type),
+        }
+    )
+    pct = F.col("forecast_pct")
+    curve = fx.forecast_curve(spark, sf).withColumn(
+        "forecast_pct", F.when(huge, pct * 2).otherwise(pct).cast("decimal(9,6)")
+    )
+    out = facts.investing_performance(
+        fx.payments(spark, sf), fx.cases(spark, sf), portfolios, curve
+    )
+    return conform(out, INVESTING_FACT, "batch-1").select(
+        "portfolio_id", "as_of_month", F.concat_ws(",", FAILURES).alias("failures")
+    )
 
 
 @query(

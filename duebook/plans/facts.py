@@ -1,9 +1,10 @@
 """The two monthly facts. They differ in grain and share no measures beyond collections.
 
-Payments are first summed per case and month, which Spark combines on the map side. After
-that no case contributes more than one row per month to any later shuffle, however many
-payments it has, so a single case holding a third of all payments does no harm. Portfolios
-and clients with many cases only ever meet further combinable sums.
+The investing fact joins payments to their cases first and then sums per portfolio and month: cases
+rarely pay twice a month, so a sum per case and month before the join would shuffle the payments once
+more and hardly reduce them. Adaptive execution splits the join where one case holds many payments,
+because an exchange follows anyway. The servicing fact keeps the case in its grain, so there the sum
+comes first: Spark combines it on the map side, and a case brings at most one row per month to the join.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duebook.contracts import MONEY, RATE
+from duebook.contracts import MONEY
 from duebook.functions.dates import month_of, whole_months
 from duebook.operators.joins import join_large, join_valid_version
 
@@ -23,11 +24,12 @@ def collections_by_case_month(payments: DataFrame) -> DataFrame:
 
 
 def collections_by_portfolio_month(payments: DataFrame, cases: DataFrame) -> DataFrame:
+    paid = payments.select("case_reference", month_of("payment_date").alias("as_of_month"), "amount")
     owned = cases.select("case_reference", "portfolio_id")
     return (
-        join_large(collections_by_case_month(payments), owned, "case_reference")
+        join_large(paid, owned, "case_reference")
         .groupBy("portfolio_id", "as_of_month")
-        .agg(F.sum("collections_actual").alias("collections_actual"))
+        .agg(F.sum("amount").alias("collections_actual"))
     )
 
 
@@ -76,8 +78,8 @@ def join_forecast(monthly: DataFrame, forecast_curve: DataFrame) -> DataFrame:
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    """NULL unless the denominator is positive, NULL if the quotient does not fit."""
-    return F.when(whole > 0, F.try_divide(part, whole).try_cast(RATE))
+    """NULL unless the denominator is positive; as wide as the division makes it."""
+    return F.when(whole > 0, F.try_divide(part, whole))
 
 
 def investing_performance(
@@ -86,20 +88,25 @@ def investing_performance(
     """Owned portfolios by month: forecast, remaining collections, recovery, multiple.
 
     ``erc_remaining`` compares the cumulative collections with the share the curve expects
-    *by that month*. It is floored at zero, also in months beyond the curve.
+    *by that month*. It is floored at zero, and zero in months beyond the curve.
+
+    Measures keep the width that the arithmetic gives them. :func:`duebook.contracts.conform` casts
+    them and names what does not fit, so an outstanding amount too large for its type is a
+    rejected row and never a finished portfolio.
     """
     monthly = collections_by_portfolio_month(payments, cases)
     aged = running_collections(add_months_on_book(monthly, portfolios))
     expected = F.col("gross_face_value") * F.col("forecast_pct")
     cumulative = F.col("collections_cumulative")
     zero = F.lit(0).cast(MONEY)
+    remaining = F.greatest(zero, expected - cumulative)
     return join_forecast(aged, forecast_curve).select(
         "portfolio_id",
         "as_of_month",
         "months_on_book",
         "collections_actual",
-        expected.try_cast(MONEY).alias("collections_forecast"),
-        F.greatest(zero, (expected - cumulative).try_cast(MONEY)).alias("erc_remaining"),
+        expected.alias("collections_forecast"),
+        F.when(F.col("forecast_pct").isNull(), zero).otherwise(remaining).alias("erc_remaining"),
         _ratio(cumulative, F.col("gross_face_value")).alias("recovery_rate_to_date"),
         "purchase_price",
         _ratio(cumulative, F.col("purchase_price")).alias("money_multiple"),

@@ -39,7 +39,8 @@ def investing(spark, portfolio, payments, curve=(("PF", 0, "0.050000"), ("PF", 1
         [(p, m, D(pct)) for p, m, pct in curve],
         "portfolio_id string, months_on_book int, forecast_pct decimal(9,6)",
     )
-    out = facts.investing_performance(payments_frame(spark, payments), cases, portfolio, curve)
+    fact = facts.investing_performance(payments_frame(spark, payments), cases, portfolio, curve)
+    out = conform(fact, INVESTING_FACT, "b1")
     return {row["as_of_month"]: row for row in out.collect()}
 
 
@@ -86,9 +87,26 @@ def test_unmatched_portfolios_are_reported(spark, portfolio):
     ]
 
 
-def test_ratio_too_large_for_its_type_is_null(spark, portfolio, ansi):
+def test_measures_too_large_for_their_types_are_rejected_by_name(spark, portfolio, ansi):
     rows = investing(spark, portfolio, [("C1", date(2023, 1, 1), "9999999.00")])
-    assert rows[date(2023, 1, 1)]["recovery_rate_to_date"] is None
+    row = rows[date(2023, 1, 1)]
+    assert row["recovery_rate_to_date"] is None and row["_dq_has_error"]
+    assert row[FAILURES] == ["recovery_rate_to_date_fits_type", "money_multiple_fits_type"]
+
+
+def test_a_huge_outstanding_amount_is_not_a_finished_portfolio(spark, ansi):
+    schema = (
+        "portfolio_id string, purchase_date date, purchase_price decimal(18,2), "
+        "gross_face_value decimal(18,2)"
+    )
+    huge = [("PF", date(2023, 1, 20), D("1.00"), D("9000000000000000.00"))]
+    curve = [("PF", 0, "2.000000")]
+    rows = investing(spark, spark.createDataFrame(huge, schema), [("C1", date(2023, 1, 1), "5000.00")], curve)
+    row = rows[date(2023, 1, 1)]
+    assert row["erc_remaining"] is None and row["_dq_has_error"]
+    assert set(row[FAILURES]) == {
+        "collections_forecast_fits_type", "erc_remaining_fits_type", "money_multiple_fits_type",
+    }
 
 
 CONTRACTS = "client_id string, commission_rate decimal(9,6), sla_target_days int, valid_from date, valid_to date"
