@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.llm.common import WORD, bind, packed, words_of
+from duebook.llm.common import WORD, bind, packed, staged, words_of
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 8
@@ -112,8 +112,12 @@ def host_verdicts(measures: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     the hosts' rates beyond what chance explains; its strength is ``m(1-m)/v - 1`` documents, held
     between 1 and 10,000 (hosts that do not differ are shrunk fully).
     """
-    hosts = measures.groupBy("host").agg(
-        F.count("*").alias("docs"), F.sum(rule_failed().cast("long")).alias("failures")
+    # used three times below, and the texts are measured only once for it
+    hosts = staged(
+        measures.groupBy("host").agg(
+            F.count("*").alias("docs"), F.sum(rule_failed().cast("long")).alias("failures")
+        ),
+        "host-counts",
     )
     rate = F.col("failures") / F.col("docs")
     prior = (
@@ -148,7 +152,8 @@ def judged(measures: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     A document goes if it fails a base rule, or if it fails any rule and its host fails too: the
     verdict on a host never condemns a document that passes every rule.
     """
-    hosts = host_verdicts(measures, limit).select(
+    # a written table has a known size: a small one is broadcast, so the texts are not shuffled
+    hosts = staged(host_verdicts(measures, limit), "host-verdicts").select(
         F.col("host").alias("judged_host"), "host_rate", "host_failed"
     )
     return (
