@@ -140,7 +140,37 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
 
 
-@query()
+NEAR_COPIES_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i
+        FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS hits
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM common JOIN n n1 ON n1.doc_id = x JOIN n n2 ON n2.doc_id = y
+  WHERE 100 * hits >= 85 * (n1.n + n2.n - hits)
+), reach AS (
+  SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), c AS (
+  SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+         least(w.doc_id, coalesce(min(reach.y), w.doc_id)) AS component_id
+  FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach ON reach.x = w.doc_id
+  GROUP BY w.doc_id, n.n
+)
+SELECT *, doc_id = component_id AS kept FROM c
+"""
+
+
+@query(NEAR_COPIES_SQL)
 def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
