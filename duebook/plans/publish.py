@@ -12,7 +12,12 @@ from pyspark.sql.types import StructType
 from duebook.contracts import conform
 from duebook.operators.quality import FAILURES, HAS_ERROR, split
 from duebook.plans.features import training_set_backfill
-from duebook.sources.storage import replace_partition, staged, write_table
+from duebook.sources.storage import (
+    replace_partition,
+    replace_partitions,
+    staged,
+    write_table,
+)
 
 
 def publish_parts(
@@ -60,6 +65,4 @@ def publish_training_set(
     path = f"{folder.rstrip('/')}/{table}" if folder else None
     built = training_set_backfill(payments, cases, as_of_dates)
     with staged(built, f"publish-{table}", ["as_of_date"]) as rows:
-        for day in sorted(set(as_of_dates)):
-            of_day = rows.where(F.col("as_of_date") == F.lit(day))
-            replace_partition(of_day, table, "as_of_date", day, path)
+        replace_partitions(rows, table, "as_of_date", sorted(set(as_of_dates)), path)

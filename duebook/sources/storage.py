@@ -92,6 +92,33 @@ def replace_partition(
     )
 
 
+def replace_partitions(
+    df: DataFrame, table: str, column: str, values: Sequence[object], path: str | None = None
+) -> None:
+    """Put rows into the partitions ``values`` of a table in one job; the other partitions stay.
+
+    A value without rows leaves an empty partition. ``df`` must not contain other values.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        write_table(df, table, partition_by=[column], path=path)
+        return
+    assert_no_personal_data(df.columns, table)
+    current = spark.table(table)
+    _check_layout(current, table, df)
+    filled = {row[0] for row in df.select(column).distinct().collect()}  # at most ``values``
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*current.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    for value in values:
+        if value not in filled:
+            replace_partition(df.limit(0), table, column, value)
+
+
 def _write_stage(df: DataFrame, purpose: str, partition_by: Sequence[str]) -> str:
     assert_no_personal_data(df.columns, purpose)
     path = shared_folder(df.sparkSession, purpose)
