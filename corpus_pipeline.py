@@ -11,8 +11,13 @@ from duebook.llm.common import staged, table, unpacked
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, unchanged."""
-    return unpacked(host_rules.judged(host_rules.measured(docs, F.col("row"))).where("kept"))
+    """Documents that the rules keep, unchanged.
+
+    The measures are written beside the rows: hosts and verdicts both read them, and a filter on the
+    verdict cannot be pushed below them, where it would compute every measure again.
+    """
+    measures = staged(host_rules.measured(docs, F.col("row")), "quality-measures")
+    return unpacked(host_rules.judged(measures).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
