@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Identifiers of a block, and blocks of a file before the next one is begun.
+#: Identifiers of a block, and blocks of a file before the next one is begun at the end of a document.
 BLOCK = 16384
 FILE_BLOCKS = 1024
 KIND = "<u2"
@@ -40,7 +40,8 @@ def packed_files(docs: DataFrame, ranks: dict[bytes, int], pattern: str, separat
     """Documents as flat token files, in blocks: (file, block, tokens, doc_ids).
 
     ``tokens`` alone is the file. ``doc_ids`` names the documents that end in the block, in order; the
-    scan does not read it.
+    scan does not read it. A document lies in one file: the last block of a file is cut behind a
+    separator, and a document without one in that block makes its file longer.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -54,15 +55,18 @@ def packed_files(docs: DataFrame, ranks: dict[bytes, int], pattern: str, separat
         open_tokens = np.zeros(0, KIND)
         ids: list[int | None] = []
         ends: list[int] = []
-        written = 0
+        file = written = 0
 
         def block(size: int) -> pa.RecordBatch:
-            nonlocal open_tokens, ids, ends, written
+            nonlocal open_tokens, ids, ends, file, written
             named = int(np.searchsorted(ends, size, side="left")) if ends else 0
+            full = written + 1 >= FILE_BLOCKS and named > 0
+            if full:
+                size = ends[named - 1] + 1
             batch = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([f"{task:07d}-{written // FILE_BLOCKS:05d}"]),
-                    pa.array([written % FILE_BLOCKS], pa.int32()),
+                    pa.array([f"{task:07d}-{file:05d}"]),
+                    pa.array([written], pa.int32()),
                     pa.array([open_tokens[:size].tobytes()], pa.binary()),
                     pa.array([ids[:named]], pa.list_(pa.int64())),
                 ],
@@ -70,7 +74,7 @@ def packed_files(docs: DataFrame, ranks: dict[bytes, int], pattern: str, separat
             )
             open_tokens, ids = open_tokens[size:], ids[named:]
             ends = [e - size for e in ends[named:]]
-            written += 1
+            file, written = (file + 1, 0) if full else (file, written + 1)
             return batch
 
         for batch in batches:

@@ -45,3 +45,29 @@ def test_packed_documents(documents, no_documents, monkeypatch):
     assert sorted((str(r.doc_id), r.n_tokens) for r in found.collect()) == expected
     assert found.where("NOT ended").isEmpty()
     assert token_scan.packed_files(no_documents, ranks, BYTE_PATTERN, END_OF_DOCUMENT).isEmpty()
+
+
+@pytest.mark.parametrize("file_blocks", [1, 2])
+def test_documents_end_in_the_file_they_begin_in(documents, monkeypatch, file_blocks):
+    import tiktoken
+
+    monkeypatch.setattr(token_scan, "BLOCK", 64)
+    monkeypatch.setattr(token_scan, "FILE_BLOCKS", file_blocks)
+    ranks = token_scan.ranks_of(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    coder = tiktoken.Encoding("t", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    files = token_scan.packed_files(documents, ranks, BYTE_PATTERN, END_OF_DOCUMENT).cache()
+    scanned = token_scan.scanned(files, END_OF_DOCUMENT).cache()
+    assert scanned.where("NOT ended").isEmpty()
+    assert scanned.select("file").distinct().count() > documents.rdd.getNumPartitions()
+    found = scanned.join(token_scan.named(files), ["file", "doc_index"]).collect()
+    expected = sorted((str(r.doc_id), len(coder.encode_ordinary(r.text or ""))) for r in documents.collect())
+    assert sorted((str(r.doc_id), r.n_tokens) for r in found) == expected
+    whole = {}
+    for r in sorted(files.collect(), key=lambda r: (r.file, r.block)):
+        assert len(r.tokens) <= 2 * 64
+        whole[r.file] = whole.get(r.file, b"") + r.tokens
+    assert sorted((r.file, r.start, r.n_tokens) for r in found) == sorted(
+        (name, start, n)
+        for name, tokens in whole.items()
+        for start, n, _ in plain(np.frombuffer(tokens, "<u2").tolist(), END_OF_DOCUMENT)
+    )
