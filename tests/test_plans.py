@@ -1,5 +1,6 @@
 """The shape of the physical plans: shuffles, pushdown, pruning."""
 
+import os
 from datetime import date
 
 import pytest
@@ -14,14 +15,13 @@ from duebook.operators.quality import (
 )
 from duebook.plans import facts, features
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 AS_OF = date(1999, 1, 1)
 
 
 @pytest.fixture(scope="module")
 def silver(spark, tmp_path_factory):
     """Deduplicated tables on disk, as the pipelines find them."""
-    from conftest import SF_DIR
-
     folder = tmp_path_factory.mktemp("silver")
     frames = {
         "payments": fx.payments(spark, SF_DIR),

@@ -1,6 +1,7 @@
 """Every registered query against its SQL on DuckDB, with ANSI mode on and off."""
 
 import decimal
+import os
 
 import duckdb
 import pytest
@@ -8,6 +9,7 @@ import pytest
 import __spark_entry__ as driver
 from duebook import catalog
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -19,8 +21,6 @@ SLOW = {"train_propensity"}
 
 @pytest.fixture(scope="module")
 def duck():
-    from conftest import SF_DIR
-
     connection = duckdb.connect()
     for name in TABLES:
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
