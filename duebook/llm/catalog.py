@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm import (
+    best_fit_packing,
     context_mixing,
     host_rules,
     metric_tree,
@@ -236,3 +237,14 @@ def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return best_fit_packing.packed_documents(
+        docs, f"{TOKENIZERS}/byte_bpe_50k.json", F.struct("row.doc_id")
+    ).select(
+        "row.doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32",
+        "sequence_id", "offset",
+    )
