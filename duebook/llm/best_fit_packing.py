@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from duebook.llm.common import packed, staged
 from duebook.llm.linear_grouping import Grouping, Range, plan
@@ -82,7 +82,7 @@ def pieces(
     for name in ("piece", "start", "length", "ids_crc32", "part", "nth"):
         schema.add(StructField(name, LongType(), False))
     if keep_ids:
-        schema.add("ids", "array<int>")
+        schema.add("ids", ArrayType(IntegerType()))
     return source.mapInArrow(_cutter(vocabulary, capacity, end, keep_ids), schema)
 
 

@@ -19,6 +19,7 @@ from duebook.llm import (
     source_mix,
     token_scan,
     url_rules,
+    whitening,
 )
 from duebook.llm.common import staged, table
 
@@ -248,3 +249,13 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32",
         "sequence_id", "offset",
     )
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows = whitening.components(vectors, F.struct("row.vec_id"))
+    return rows.select(
+        "row.vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"),
+        "whitened", "explained", "identity_error",
+    )

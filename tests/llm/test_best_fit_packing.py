@@ -80,7 +80,7 @@ def test_plans_are_whole_and_near_the_lower_bound(share, groups, low, high):
     elif share == 2 and (low, high) in ((1, 100), (1, 3)):
         assert used(counts, ranges, 100) <= 1.06 * needed
     else:
-        assert used(counts, ranges, 100) <= 1.3 * needed
+        assert used(counts, ranges, 100) <= 1.5 * needed
 
 
 def test_grouping_beats_plain_best_fit_where_lengths_come_in_threes():
