@@ -17,6 +17,7 @@ from duebook.llm import (
     personal_data,
     pieces,
     source_mix,
+    token_alignment,
     token_scan,
     url_rules,
     whitening,
@@ -259,3 +260,11 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"),
         "whitened", "explained", "identity_error",
     )
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.aligned(
+        docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model", F.struct("row.doc_id")
+    ).select("row.doc_id", *token_alignment.MEASURES, "n_best", "count_sum", "groups_sha256")
