@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from duebook import fixtures as fx
 from duebook.catalog.privacy import last_four_sql, pseudonym_sql
 from duebook.catalog.registry import PEPPER, RULES_AS_OF, query
-from duebook.contracts import PAYMENTS, RAW_CASES
+from duebook.contracts import PAYMENTS, PLACEMENTS, RAW_CASES
 from duebook.operators.quality import FAILURES
 from duebook.oracles import over_views
 from duebook.plans.ingest import ingest_cases as run_ingest
+from duebook.plans.ingest import ingest_payments as run_payments
+from duebook.plans.ingest import ingest_placements as run_placements
 from duebook.sources import landing
 from duebook.sources.storage import shared_folder, write_csv, write_table
 
@@ -263,3 +265,87 @@ def table_roundtrip(spark, sf):
     return spark.table(table)
 
 
+_LATE = f"{NUMBER} % 10 = 3"
+_MOVED = f"{NUMBER} % 11 = 2"
+_REFUSED = f"{NUMBER} % 97 = 5"
+
+
+def _publish_batches(spark, run, batches, name):
+    """Each (batch, rows) lands in a folder of its own and is ingested; the last batch runs again."""
+    folder = shared_folder(spark, "published")
+    suffix = folder.rsplit("-", 1)[1]
+    table, rejects = f"{name}_{suffix}", f"{name}_quarantine_{suffix}"
+    for batch, rows in batches:
+        write_csv(rows, f"{folder}/landing-{batch}")
+    for batch, _ in [*batches, batches[-1]]:
+        run(
+            spark,
+            f"{folder}/landing-{batch}",
+            batch_id=batch,
+            as_of=RULES_AS_OF,
+            table=table,
+            quarantine_table=rejects,
+            table_folder=folder,
+        )
+    clean = spark.table(table).withColumn("part", F.lit("clean"))
+    rejected = spark.table(rejects).withColumn("part", F.lit("quarantine"))
+    return clean.unionByName(rejected, allowMissingColumns=True)
+
+
+@query(
+    over_views(
+        f"""
+SELECT payment_id, case_reference, payment_date, amount, channel, strftime(payment_date, '%Y-%m') AS payment_month,
+       CASE WHEN changed THEN 'second' ELSE 'first' END AS _batch_id,
+       CASE WHEN payment_date >= DATE '2000-01-01' THEN '' ELSE 'payment_date_plausible' END AS failures,
+       'clean' AS part
+FROM (SELECT payment_id, case_reference, channel,
+             CASE WHEN {_MOVED} THEN payment_date + 40 ELSE payment_date END AS payment_date,
+             CASE WHEN {_MOVED} THEN CAST(amount + 1 AS DECIMAL(18,2)) ELSE amount END AS amount,
+             {_LATE} OR {_MOVED} OR {_REFUSED} AS changed FROM v_payments)
+UNION ALL
+SELECT payment_id, case_reference, payment_date, -amount, channel, NULL, 'first',
+       'payment_amount_positive' || CASE WHEN payment_date >= DATE '2000-01-01' THEN ''
+                                         ELSE ',payment_date_plausible' END, 'quarantine'
+FROM v_payments WHERE {_REFUSED} AND NOT {_LATE}"""
+    )
+)
+def ingest_payments(spark, sf):
+    """A first batch with refused amounts; a second with late rows, corrections that change the month, and the
+    refused ones put right; and the second once more."""
+    payments = fx.payments(spark, sf).select(*PAYMENTS.fieldNames())
+    late, moved, refused = (F.expr(c) for c in (_LATE, _MOVED, _REFUSED))
+    first = payments.where(~late).withColumn("amount", F.when(refused, -F.col("amount")).otherwise(F.col("amount")))
+    second = payments.where(late | moved | refused).withColumns(
+        {
+            "payment_date": F.when(moved, F.date_add("payment_date", 40)).otherwise(F.col("payment_date")),
+            "amount": F.when(moved, F.col("amount") + 1).otherwise(F.col("amount")),
+        }
+    )
+    both = _publish_batches(spark, run_payments, [("first", first), ("second", second)], "payments")
+    return both.select(
+        *PAYMENTS.fieldNames(), "payment_month", "_batch_id", F.concat_ws(",", FAILURES).alias("failures"), "part"
+    )
+
+
+@query(
+    over_views(
+        f"""
+SELECT case_reference, client_id, placed_date,
+       CASE WHEN {_MOVED} THEN placed_date + 3 ELSE first_contact_date END AS first_contact_date,
+       strftime(placed_date, '%Y-%m') AS placed_month,
+       CASE WHEN {_LATE} OR {_MOVED} THEN 'second' ELSE 'first' END AS _batch_id, '' AS failures, 'clean' AS part
+FROM v_cases"""
+    )
+)
+def ingest_placements(spark, sf):
+    """Placements whose first contact becomes known, and late ones, in a second batch that runs twice."""
+    placements = fx.cases(spark, sf).select(*PLACEMENTS.fieldNames())
+    late, moved = F.expr(_LATE), F.expr(_MOVED)
+    known = F.when(moved, F.date_add("placed_date", 3)).otherwise(F.col("first_contact_date"))
+    second = placements.where(late | moved).withColumn("first_contact_date", known)
+    batches = [("first", placements.where(~late)), ("second", second)]
+    both = _publish_batches(spark, run_placements, batches, "placements")
+    return both.select(
+        *PLACEMENTS.fieldNames(), "placed_month", "_batch_id", F.concat_ws(",", FAILURES).alias("failures"), "part"
+    )

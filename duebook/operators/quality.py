@@ -155,6 +155,18 @@ def payment_rules(as_of: date) -> list[Rule]:
     ]
 
 
+def placement_rules(as_of: date) -> list[Rule]:
+    return [
+        Rule("placed_date_not_future", f"placed_date <= DATE'{as_of.isoformat()}'", ERROR),
+        Rule(
+            "contact_not_before_placement",
+            "first_contact_date IS NULL OR first_contact_date >= placed_date",
+            WARN,
+            "a debtor cannot be reached before the case arrives",
+        ),
+    ]
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
     """Keep the row with the highest ``latest_by`` values per key; NULL keys form one group.
 

@@ -9,14 +9,21 @@ also means a lost executor never repeats the CSV scan for more than its own task
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from duebook.contracts import OPTIONAL_INBOUND, PAYMENTS, RAW_CASES, SILVER_CASES
+from pyspark.sql.types import StructType
+
+from duebook.contracts import (
+    OPTIONAL_INBOUND,
+    PAYMENTS,
+    PLACEMENTS,
+    RAW_CASES,
+    SILVER_CASES,
+)
 from duebook.operators.privacy import apply_policy, assert_registry_covers
 from duebook.operators.quality import (
     ERROR,
@@ -27,15 +34,18 @@ from duebook.operators.quality import (
     dedupe_latest,
     flag_failures,
     payment_rules,
+    placement_rules,
     recorded_metrics,
     split,
 )
-from duebook.plans.publish import publish_parts
+from duebook.plans.publish import below, publish_parts
 from duebook.sources.landing import CORRUPT, read_landing
-from duebook.sources.storage import staged
+from duebook.sources.storage import replace_partition, staged
+from duebook.sources.upsert import upsert
 
 QUARANTINE_LIMIT = 0.10
 _OWN_KEY = "_own_key"
+ARRIVAL = ("_arrived_at", "_source_file")
 KNOWN_SAFE = ("case_reference", "portfolio_id", "_source_file", "_arrived_at")
 
 _CAST_TARGETS = {
@@ -95,35 +105,116 @@ def checked_cases(landed: DataFrame, as_of: date, pepper: str) -> DataFrame:
     """
     judged = drop_lost_flags(flag_failures(type_cases(landed), ingest_rules(as_of)))
     protected = apply_policy(_number_unkeyed(judged, "case_reference").drop(CORRUPT), pepper)
-    return _latest_arrival(protected, "case_reference")
+    return _latest_arrival(protected, ["case_reference"]).drop("_arrived_at")
 
 
-def _number_unkeyed(landed: DataFrame, key: str) -> DataFrame:
-    """Give every row that cannot be keyed (malformed, or without ``key``) a key of its own.
+def _number_unkeyed(landed: DataFrame, *keys: str) -> DataFrame:
+    """Give every row that cannot be keyed (malformed, or without one of ``keys``) a key of its own.
 
     Such rows are all kept for quarantine, and the numbers spread them over tasks. Numbering
     happens in the file scan, where a repeated task sees the same rows in the same order.
     """
-    blank = F.coalesce(F.length(F.trim(key)) == 0, F.lit(True))
-    unkeyed = F.col(CORRUPT).isNotNull() | blank
+    unkeyed = F.col(CORRUPT).isNotNull()
+    for key in keys:
+        unkeyed = unkeyed | F.coalesce(F.length(F.trim(key)) == 0, F.lit(True))
     return landed.withColumn(_OWN_KEY, F.when(unkeyed, F.monotonically_increasing_id()))
 
 
-def _latest_arrival(rows: DataFrame, key: str, *then: str) -> DataFrame:
+def _latest_arrival(rows: DataFrame, keys: Sequence[str], *then: str) -> DataFrame:
     """The version of each key from the file that arrived last; its path only decides a tie."""
-    latest = dedupe_latest(rows, [key, _OWN_KEY], ["_arrived_at", "_source_file", *then])
-    return latest.drop(_OWN_KEY, "_arrived_at")
+    return dedupe_latest(rows, [*keys, _OWN_KEY], [*ARRIVAL, *then]).drop(_OWN_KEY)
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A silver table that is fed by changes: its contract, key, month and own rules.
+
+    ``then`` breaks ties between rows of one file.
+    """
+
+    contract: StructType
+    keys: tuple[str, ...]
+    date: str
+    month: str
+    rules: Callable[[date], list[Rule]]
+    then: tuple[str, ...] = ()
+
+    def all_rules(self, as_of: date) -> list[Rule]:
+        return [
+            Rule("row_well_formed", f"{CORRUPT} IS NULL", ERROR),
+            *[
+                Rule(f"{f.name}_not_null", f"{f.name} IS NOT NULL")
+                for f in self.contract
+                if not f.nullable
+            ],
+            *self.rules(as_of),
+        ]
+
+
+PAYMENT_FEED = Feed(
+    PAYMENTS, ("payment_id",), "payment_date", "payment_month", payment_rules, ("payment_date",)
+)
+PLACEMENT_FEED = Feed(
+    PLACEMENTS,
+    ("case_reference", "client_id"),
+    "placed_date",
+    "placed_month",
+    placement_rules,
+    ("placed_date",),
+)
+
+
+def checked_feed(landed: DataFrame, feed: Feed, as_of: date) -> DataFrame:
+    """Landed rows (already typed by their contract) judged, latest version per key, with its arrival."""
+    judged = flag_failures(landed, feed.all_rules(as_of))
+    return _latest_arrival(_number_unkeyed(judged, *feed.keys).drop(CORRUPT), feed.keys, *feed.then)
 
 
 def silver_payments(landed: DataFrame, as_of: date) -> DataFrame:
-    """Landed payments (already typed by their contract) judged, latest version per payment."""
-    rules = [
-        Rule("row_well_formed", f"{CORRUPT} IS NULL", ERROR),
-        *[Rule(f"{f.name}_not_null", f"{f.name} IS NOT NULL") for f in PAYMENTS if not f.nullable],
-        *payment_rules(as_of),
-    ]
-    judged = _number_unkeyed(flag_failures(landed, rules), "payment_id").drop(CORRUPT)
-    return _latest_arrival(judged, "payment_id", "payment_date")
+    """Payments as they are published, with failures: latest version per payment."""
+    return checked_feed(landed, PAYMENT_FEED, as_of).drop("_arrived_at")
+
+
+def ingest_changes(
+    spark: SparkSession,
+    landing_path: str,
+    feed: Feed,
+    *,
+    batch_id: str,
+    as_of: date,
+    table: str,
+    quarantine_table: str,
+    table_folder: str | None = None,
+    limit: float = QUARANTINE_LIMIT,
+) -> Ingested:
+    """Add a batch of new, corrected or late rows to a table that is partitioned by month.
+
+    Across batches the version that arrived last wins, whichever batch runs last. Only months with changed
+    keys are written again. Nothing is published if too many rows are quarantined; a batch that runs
+    again replaces its own rejects and changes nothing else.
+    """
+    landed = read_landing(spark, landing_path, feed.contract, batch_id, allowed_new=())
+    checked = checked_feed(landed, feed, as_of)
+    with staged(checked, f"ingest-{batch_id}", [HAS_ERROR]) as rows:
+        metrics = recorded_metrics(rows, feed.all_rules(as_of)).first().asDict()
+        check_error_rate(metrics, limit)
+        clean, rejected = split(rows)
+        replace_partition(
+            rejected, quarantine_table, "_batch_id", batch_id, below(table_folder, quarantine_table)
+        )
+        monthly = clean.withColumn(feed.month, F.date_format(feed.date, "yyyy-MM"))
+        upsert(monthly, table, feed.keys, feed.month, ARRIVAL, below(table_folder, table))
+    return Ingested(table, quarantine_table, metrics)
+
+
+def ingest_payments(spark: SparkSession, landing_path: str, **options) -> Ingested:
+    """:func:`ingest_changes` for payments: one row per payment id, by month of payment."""
+    return ingest_changes(spark, landing_path, PAYMENT_FEED, **options)
+
+
+def ingest_placements(spark: SparkSession, landing_path: str, **options) -> Ingested:
+    """:func:`ingest_changes` for placements: one row per case and client, by month of placement."""
+    return ingest_changes(spark, landing_path, PLACEMENT_FEED, **options)
 
 
 def ingest_cases(

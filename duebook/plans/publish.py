@@ -20,6 +20,11 @@ from duebook.sources.storage import (
 )
 
 
+def below(folder: str | None, name: str) -> str | None:
+    """Where a table of that name stands, if tables have a folder."""
+    return f"{folder.rstrip('/')}/{name}" if folder else None
+
+
 def publish_parts(
     clean: DataFrame,
     rejected: DataFrame,
@@ -29,12 +34,10 @@ def publish_parts(
     folder: str | None = None,
 ) -> None:
     """Replace ``table`` and this batch's partition of the quarantine table."""
-
-    def below(name: str) -> str | None:
-        return f"{folder.rstrip('/')}/{name}" if folder else None
-
-    replace_partition(rejected, quarantine_table, "_batch_id", batch_id, below(quarantine_table))
-    write_table(clean, table, path=below(table))
+    replace_partition(
+        rejected, quarantine_table, "_batch_id", batch_id, below(folder, quarantine_table)
+    )
+    write_table(clean, table, path=below(folder, table))
 
 
 def publish_fact(
@@ -62,7 +65,7 @@ def publish_training_set(
     folder: str | None = None,
 ) -> None:
     """Write or replace the training rows of the given days; other days in the table stay."""
-    path = f"{folder.rstrip('/')}/{table}" if folder else None
+    path = below(folder, table)
     built = training_set_backfill(payments, cases, as_of_dates)
     with staged(built, f"publish-{table}", ["as_of_date"]) as rows:
         replace_partitions(rows, table, "as_of_date", sorted(set(as_of_dates)), path)
