@@ -19,7 +19,9 @@ from duebook.operators.quality import (
     apply_rules,
     case_rules,
     dedupe_latest,
+    error_rate,
     flag_failures,
+    observed_metrics,
     payment_rules,
     rule_metrics,
     split,
@@ -27,8 +29,9 @@ from duebook.operators.quality import (
 from duebook.oracles import SERVICING_SELECT, over_views
 from duebook.plans import facts
 from duebook.plans.ingest import silver_cases as type_and_flag
+from duebook.plans.ingest import trusted_metrics
 from duebook.plans.publish import publish_fact
-from duebook.sources.storage import replace_partition, shared_folder
+from duebook.sources.storage import replace_partition, shared_folder, stage
 from duebook.sources.storage import snapshot_fingerprint as fingerprint
 
 CASES_WITH_DEBTORS = "SELECT * FROM v_cases_raw JOIN v_debtors USING (debtor_key)"
@@ -49,6 +52,7 @@ SELECT *, concat_ws(',',
 FROM k"""
 
 _JUDGED = (("k", CASES_WITH_DEBTORS), ("judged", CASE_FAILURES))
+PERSONAL = ("national_id", "debtor_name", "debtor_email", "debtor_phone", "debtor_address")
 _SHOWN = "case_reference, current_balance, currency, default_date, failures"
 
 
@@ -94,6 +98,26 @@ def dq_metrics(spark, sf):
     return rule_metrics(fx.cases_with_debtors(spark, sf), case_rules(RULES_AS_OF))
 
 
+@query(
+    over_views(
+        """
+SELECT rows_total, rows_quarantined, rows_quarantined / rows_total AS rate, threshold,
+       rows_quarantined / rows_total <= threshold AS passed,
+       CASE WHEN rows_quarantined / rows_total <= threshold THEN '' ELSE 'above the limit' END AS reason
+FROM (SELECT count(*) AS rows_total, count(*) FILTER (rejected) AS rows_quarantined FROM judged)
+     CROSS JOIN (VALUES (CAST(0.001 AS DOUBLE)), (CAST(0.1 AS DOUBLE))) t(threshold)""",
+        *_JUDGED,
+    )
+)
+def dq_breaker(spark, sf):
+    """The breaker's verdicts on what the job that wrote the judged cases observed."""
+    rules = case_rules(RULES_AS_OF)
+    rows, observed = observed_metrics(_judged(spark, sf), rules)
+    metrics = trusted_metrics(observed, stage(rows.drop(*PERSONAL), "breaker"), rules)
+    counts = spark.createDataFrame([(metrics["rows_total"], metrics["rows_quarantined"])], "rows_total long, rows_quarantined long")
+    return error_rate(counts, 0.001).unionByName(error_rate(counts, 0.1))
+
+
 @query(
     over_views(
         """

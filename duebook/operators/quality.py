@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 ERROR = "error"
@@ -80,13 +80,41 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def recorded_metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The same row from a written result, which may no longer have the rules' columns."""
-    return flagged.agg(
+    return flagged.agg(*_recorded(rules))
+
+
+def _recorded(rules: Sequence[Rule]) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("rows_total"),
         *[
             F.count_if(F.array_contains(FAILURES, rule.name)).alias(f"failed_{rule.name}")
             for rule in rules
         ],
         F.count_if(HAS_ERROR).alias("rows_quarantined"),
+    ]
+
+
+def observed_metrics(flagged: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """``flagged`` with its :func:`recorded_metrics` observed by whatever job computes it next.
+
+    Rows of a task that ran twice may be counted twice: compare ``rows_total`` with what was written.
+    """
+    observation = Observation()
+    counts = _recorded(rules)
+    return flagged.observe(observation, *counts), observation
+
+
+def error_rate(metrics: DataFrame, threshold: float) -> DataFrame:
+    """The circuit breaker's verdict on rows of metrics: ``rate``, ``passed`` and why not."""
+    rate = F.when(F.col("rows_total") > 0, F.col("rows_quarantined") / F.col("rows_total"))
+    reason = F.when(rate.isNull(), "the source is empty").when(rate > threshold, "above the limit")
+    return metrics.select(
+        "rows_total",
+        "rows_quarantined",
+        rate.alias("rate"),
+        F.lit(threshold).alias("threshold"),
+        reason.isNull().alias("passed"),
+        F.coalesce(reason, F.lit("")).alias("reason"),
     )
 
 

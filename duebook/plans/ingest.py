@@ -2,9 +2,8 @@
 
 One pass over the files: header check, typed values, rules and privacy policy are all row-wise
 and run in the scan stage, so that raw personal data is neither shuffled nor written. The only
-shuffle is the deduplication. Its result is staged once in shared storage; the counts for the
-circuit breaker, the clean table and the quarantine table are all read from there, which
-also means a lost executor never repeats the CSV scan for more than its own tasks.
+shuffle is the deduplication. Its result is written once; the counts for the circuit breaker are observed by
+that write, and the clean table and the quarantine table are views of it, switched together.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,15 +32,17 @@ from duebook.operators.quality import (
     check_error_rate,
     dedupe_latest,
     flag_failures,
+    observed_metrics,
     payment_rules,
     placement_rules,
     recorded_metrics,
     split,
 )
-from duebook.plans.publish import below, publish_parts
+from duebook.plans.publish import below, publish_judged
 from duebook.sources.landing import CORRUPT, read_landing
 from duebook.sources.storage import replace_partition, staged
 from duebook.sources.upsert import upsert
+from duebook.sources.versions import Version
 
 QUARANTINE_LIMIT = 0.10
 _OWN_KEY = "_own_key"
@@ -194,9 +195,10 @@ def ingest_changes(
     again replaces its own rejects and changes nothing else.
     """
     landed = read_landing(spark, landing_path, feed.contract, batch_id, allowed_new=())
-    checked = checked_feed(landed, feed, as_of)
+    rules = feed.all_rules(as_of)
+    checked, observed = observed_metrics(checked_feed(landed, feed, as_of), rules)
     with staged(checked, f"ingest-{batch_id}", [HAS_ERROR]) as rows:
-        metrics = recorded_metrics(rows, feed.all_rules(as_of)).first().asDict()
+        metrics = trusted_metrics(observed, rows, rules)
         check_error_rate(metrics, limit)
         clean, rejected = split(rows)
         replace_partition(
@@ -231,17 +233,32 @@ def ingest_cases(
 ) -> Ingested:
     """Replace the clean table with this batch and add its rejects to the quarantine table.
 
-    Nothing is published if the share of quarantined rows is above ``limit``. The quarantine
-    table is partitioned by batch and only that partition is written, so running a batch again
-    replaces its rejects.
+    One job reads the files, writes the batch and counts what the rules found; clean rows and rejects then
+    appear together. Nothing is published if the share of quarantined rows is above ``limit``.
+    Running a batch again replaces its rejects.
     """
     landed = with_optional_columns(read_landing(spark, landing_path, RAW_CASES, batch_id))
     assert_registry_covers([c for c in landed.columns if c != CORRUPT], KNOWN_SAFE)
+    rules = ingest_rules(as_of)
+    rows, observed = observed_metrics(checked_cases(landed, as_of, pepper), rules)
+    metrics: dict[str, int] = {}
 
-    checked = checked_cases(landed, as_of, pepper)
-    with staged(checked, f"ingest-{batch_id}", [HAS_ERROR]) as rows:
-        metrics = recorded_metrics(rows, ingest_rules(as_of)).first().asDict()
+    def check(version: Version) -> None:
+        metrics.update(trusted_metrics(observed, spark.table(version.name), rules))
         check_error_rate(metrics, limit)
-        clean, rejected = split(rows)
-        publish_parts(clean, rejected, batch_id, clean_table, quarantine_table, table_folder)
+
+    publish_judged(rows, batch_id, clean_table, quarantine_table, folder=table_folder, check=check)
     return Ingested(clean_table, quarantine_table, metrics)
+
+
+def trusted_metrics(
+    observed: Observation, written: DataFrame, rules: Sequence[Rule]
+) -> dict[str, int]:
+    """Metrics observed in the write, if they count the written rows; else counted from those.
+
+    Tasks that ran twice may have been observed twice. The number of written rows comes from file footers.
+    """
+    found = observed.get
+    if found.get("rows_total") == written.count():
+        return dict(found)
+    return recorded_metrics(written, rules).first().asDict()

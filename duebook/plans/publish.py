@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from duebook.contracts import conform
-from duebook.operators.quality import FAILURES, HAS_ERROR, split
+from duebook.operators.quality import FAILURES
 from duebook.plans.features import training_set_backfill
-from duebook.sources.storage import (
-    replace_partition,
-    replace_partitions,
-    staged,
-    write_table,
-)
+from duebook.sources.storage import replace_partitions, staged
+from duebook.sources.versions import Version, drop_version, switch_to, write_version
 
 
 def below(folder: str | None, name: str) -> str | None:
@@ -25,19 +21,28 @@ def below(folder: str | None, name: str) -> str | None:
     return f"{folder.rstrip('/')}/{name}" if folder else None
 
 
-def publish_parts(
-    clean: DataFrame,
-    rejected: DataFrame,
+def publish_judged(
+    rows: DataFrame,
     batch_id: str,
     table: str,
     quarantine_table: str,
+    hidden: tuple[str, ...] = (),
     folder: str | None = None,
+    check: Callable[[Version], None] | None = None,
 ) -> None:
-    """Replace ``table`` and this batch's partition of the quarantine table."""
-    replace_partition(
-        rejected, quarantine_table, "_batch_id", batch_id, below(folder, quarantine_table)
-    )
-    write_table(clean, table, path=below(folder, table))
+    """Write a judged batch once, check it, and publish both parts by one switch.
+
+    If the check raises, the written version is dropped and everything stays as it was.
+    """
+    spark = rows.sparkSession
+    version = write_version(rows, table, batch_id, folder)
+    try:
+        if check:
+            check(version)
+    except Exception:
+        drop_version(spark, version)
+        raise
+    switch_to(spark, version, table, quarantine_table, hidden, folder)
 
 
 def publish_fact(
@@ -50,11 +55,10 @@ def publish_fact(
 ) -> None:
     """Write a fact with its audit columns; rows that break the contract go to quarantine.
 
-    The fact is computed once, into shared storage, and published from there in two parts.
+    The fact is computed once, by the job that writes it, and both parts appear together.
     """
-    with staged(conform(fact, contract, batch_id), f"publish-{table}", [HAS_ERROR]) as rows:
-        clean, rejected = split(rows)
-        publish_parts(clean.drop(FAILURES), rejected, batch_id, table, quarantine_table, folder)
+    judged = conform(fact, contract, batch_id)
+    publish_judged(judged, batch_id, table, quarantine_table, (FAILURES,), folder)
 
 
 def publish_training_set(

@@ -146,9 +146,13 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Ite
     try:
         yield _read_stage(df, path)
     finally:
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(df.sparkSession, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the session's default or the named store; one that is gone is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

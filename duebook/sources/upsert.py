@@ -47,10 +47,10 @@ def upsert(
     spark = changes.sparkSession
     latest = dedupe_latest(changes, keys, arrival)
     if not spark.catalog.tableExists(table):
-        with staged(latest, "upsert-first", [partition]) as rows:
-            write_table(rows, table, partition_by=[partition], path=path)
-            parts = sorted(r[0] for r in rows.select(partition).distinct().collect())
-            return Upserted(tuple(parts), rows.count(), 0)
+        write_table(_by_partition(latest, partition), table, partition_by=[partition], path=path)
+        written = spark.table(table)
+        parts = sorted(r[0] for r in written.select(partition).distinct().collect())
+        return Upserted(tuple(parts), written.count(), 0)
     with staged(latest, "upsert-changes") as new:
         current = spark.table(table)
         with staged(judged(new, current, keys, partition, arrival), "upsert-verdicts") as verdicts:
@@ -60,10 +60,15 @@ def upsert(
             if parts:
                 winners = wins.drop("_wins", "_old_partition")
                 with staged(rewritten(current, winners, keys, partition, parts), "upsert-rows") as rows:
-                    replace_partitions(rows, table, partition, parts)
+                    replace_partitions(_by_partition(rows, partition), table, partition, parts)
             return Upserted(tuple(parts), counts[0], counts[1])
 
 
+def _by_partition(rows: DataFrame, partition: str) -> DataFrame:
+    """Few files per partition: rows of one go together, and adaptive execution splits large ones."""
+    return rows.hint("rebalance", partition)
+
+
 def judged(
     new: DataFrame, current: DataFrame, keys: Sequence[str], partition: str, arrival: Sequence[str]
 ) -> DataFrame:
