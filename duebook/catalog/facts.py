@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from duebook import fixtures as fx
-from duebook.catalog.registry import money, query
+from duebook.catalog.registry import bucketed_silver, money, query
 from duebook.contracts import INVESTING_FACT, SERVICING_FACT, conform
 from duebook.operators.joins import as_of_slice, join_large, join_valid_version
 from duebook.operators.quality import FAILURES
@@ -309,3 +309,11 @@ def conform_contract(spark, sf):
     return out.withColumn("failures", F.concat_ws(",", FAILURES)).drop(
         "_ingested_at", FAILURES, "_dq_has_error"
     )
+
+
+@query(over_views(SERVICING_SELECT))
+def servicing_from_buckets(spark, sf):
+    """The servicing fact from silver tables in buckets of a case: payments and placements are not shuffled."""
+    silver = bucketed_silver(spark, sf)
+    out = facts.servicing_performance(silver["payments"], silver["cases"], fx.contracts(spark, sf))
+    return money(out, "collections_actual")

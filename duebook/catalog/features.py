@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duebook import fixtures as fx
-from duebook.catalog.registry import BACKFILL_DATES, FEATURES_AS_OF, money, query
+from duebook.catalog.registry import (
+    BACKFILL_DATES,
+    FEATURES_AS_OF,
+    bucketed_silver,
+    money,
+    query,
+)
 from duebook.operators.defects import generate_payments as make_payments
 from duebook.operators.defects import inject_defects as plant_defects
 from duebook.oracles import over_views
@@ -157,6 +163,14 @@ def features_pit(spark, sf):
     )
 
 
+@query(_training_sql([FEATURES_AS_OF], label=False))
+def features_from_buckets(spark, sf):
+    """The same features from silver tables in buckets of a case, without a shuffle."""
+    silver = bucketed_silver(spark, sf)
+    cases = silver["cases"].select("case_reference", "portfolio_id")
+    return _shown(features.features_pit(silver["payments"], cases, FEATURES_AS_OF))
+
+
 @query(
     over_views(
         f"""

@@ -8,7 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duebook import fixtures as fx
 from duebook.contracts import MONEY
+from duebook.sources.storage import shared_folder, write_bucketed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -35,3 +37,19 @@ def query(answer: str | None = None, name: str | None = None):
 def money(df: DataFrame, *names: str) -> DataFrame:
     """Sums come out wider than the contract; bring them back to it."""
     return df.withColumns({n: F.col(n).try_cast(MONEY) for n in names})
+
+
+def bucketed_silver(spark: SparkSession, sf_dir: str, buckets: int = 8) -> dict[str, DataFrame]:
+    """Payments and cases as silver tables in buckets of a case."""
+    folder = shared_folder(spark, "buckets")
+    suffix = folder.rsplit("-", 1)[1]
+    frames = {
+        "payments": (fx.payments(spark, sf_dir), ["payment_date"]),
+        "cases": (fx.cases(spark, sf_dir), []),
+    }
+    tables = {}
+    for name, (df, sort_by) in frames.items():
+        table, path = f"{name}_{suffix}", f"{folder}/{name}"
+        write_bucketed(df, table, "case_reference", buckets, sort_by, path)
+        tables[name] = spark.table(table)
+    return tables

@@ -68,6 +68,45 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def bucket_counts(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``bucket`` and ``rows``: how evenly rows would lie in so many buckets of ``key``."""
+    bucket = F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")
+    return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    key: str,
+    buckets: int,
+    sort_by: Sequence[str] = (),
+    path: str | None = None,
+    most_uneven: float = 4.0,
+) -> bool:
+    """Replace a table, one sorted file per bucket of ``key``; joins, sums and windows by ``key`` then need no
+    shuffle. Tables that are joined must have the same number of buckets.
+
+    A bucket is one task's work wherever the table is read. If the largest would hold more than
+    ``most_uneven`` times the mean (a hot key, say), the table is written without buckets, False is returned,
+    and adaptive execution can split the key as it does elsewhere. The count beforehand is a
+    map-side-combined aggregate: write from a stage where ``df`` is dear.
+    """
+    assert_no_personal_data(df.columns, table)
+    if df.sparkSession.catalog.tableExists(table):
+        _check_layout(df.sparkSession.table(table), table, df)
+    sizes = bucket_counts(df, key, buckets).agg(F.max("rows").alias("most"), F.sum("rows").alias("all"))
+    found = sizes.first()
+    even = not found["all"] or found["most"] <= most_uneven * max(1.0, found["all"] / buckets)
+    writer = df.write
+    if even:
+        columns = list(dict.fromkeys([key, *sort_by]))
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*columns)
+    if path:
+        writer = writer.option("path", path)
+    writer.format("parquet").mode("overwrite").saveAsTable(table)
+    return even
+
+
 def replace_partition(
     df: DataFrame, table: str, column: str, value: object, path: str | None = None
 ) -> None:

@@ -14,6 +14,7 @@ from duebook.operators.quality import (
     split,
 )
 from duebook.plans import facts, features
+from duebook.sources.storage import write_bucketed
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 AS_OF = date(1999, 1, 1)
@@ -103,3 +104,24 @@ def test_investing_windows_run_on_months(silver):
     text = plan(out)
     assert text.index("Window [sum") < text.index("partial_sum")
     assert "BuildLeft" not in text
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, silver):
+    for name, sort_by in (("payments", ["payment_date"]), ("cases", [])):
+        assert write_bucketed(silver[name], f"bucketed_{name}", "case_reference", 8, sort_by)
+    return {name: spark.table(f"bucketed_{name}") for name in ("payments", "cases")}
+
+
+def test_buckets_save_every_shuffle_by_case(silver, bucketed):
+    cases = bucketed["cases"].select("case_reference", "portfolio_id")
+    for out in (
+        features.features_pit(bucketed["payments"], cases, AS_OF),
+        features.training_set(bucketed["payments"], cases, AS_OF),
+        features.training_set_backfill(bucketed["payments"], cases, [date(1998, 1, 1), AS_OF]),
+        features.gap_statistics(bucketed["payments"]),
+        facts.collections_by_case_month(bucketed["payments"]),
+        facts.servicing_performance(bucketed["payments"], bucketed["cases"], silver["contracts"]),
+    ):
+        assert shuffles(out) == 0
+        assert "Bucketed: true" in plan(out)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from duebook.contracts import REFERENCE_TABLES
 from duebook.sources import storage
+from duebook.sources.storage import bucket_counts, write_bucketed
 
 
 def test_append_keeps_and_overwrite_replaces(spark, fresh_name):
@@ -108,3 +109,24 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = (storage.shared_folder(spark, "x") for _ in range(2))
     assert first.startswith(root) and first != second
+
+
+def test_buckets_are_used_only_where_they_are_even(spark, fresh_name):
+    rows = spark.range(4000).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("k"), "id")
+    even, uneven, empty = (fresh_name(n) for n in ("even", "uneven", "empty"))
+    assert write_bucketed(rows, even, "k", 8, ["id"])
+    assert write_bucketed(rows, even, "k", 8, ["id"]), "replacing it is fine"
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {even}").collect()}
+    assert detail["Num Buckets"] == "8" and detail["Sort Columns"] == "[`k`, `id`]"
+    assert spark.table(even).count() == 4000
+    counted = {r.bucket: r.rows for r in bucket_counts(rows, "k", 8).collect()}
+    files = spark.table(even).groupBy(F.input_file_name()).count().collect()
+    assert sorted(r["count"] for r in files) == sorted(counted.values())
+
+    hot = rows.withColumn("k", F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.col("k")))
+    assert not write_bucketed(hot, uneven, "k", 64)
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {uneven}").collect()}
+    assert "Num Buckets" not in detail and spark.table(uneven).count() == 4000
+    assert write_bucketed(rows.limit(0), empty, "k", 8) and spark.table(empty).isEmpty()
+    with pytest.raises(ValueError, match="differ"):
+        write_bucketed(rows.select("k"), even, "k", 8)
