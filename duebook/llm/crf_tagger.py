@@ -181,26 +181,25 @@ class Tagger:
 
 
 def train(
-    x: np.ndarray, gold: np.ndarray, kinds: int, hidden: int, epochs: int, batch: int, seed: int
+    x: np.ndarray, gold: np.ndarray, kinds: int, hidden: int, steps: int, batch: int, seed: int
 ) -> Tagger:
-    """Adam on shuffled batches, the same for the same data."""
+    """So many steps of Adam on shuffled batches, the same for the same data."""
     tagger = Tagger.fresh(kinds, hidden, seed)
     random = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in tagger.weights.items()}
     second = {k: np.zeros_like(v) for k, v in tagger.weights.items()}
-    step = 0
-    for epoch in range(epochs):
-        rate = 0.02 * (0.5 + 0.5 * np.cos(np.pi * epoch / epochs)) + 0.001
-        order = random.permutation(len(x))
-        for at in range(0, len(x), batch):
-            chosen = order[at : at + batch]
-            _, grads = tagger.gradients(x[chosen], gold[chosen])
-            norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-            step += 1
-            for k, g in grads.items():
-                g = g * min(1.0, 5.0 / (norm + 1e-9))
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                fixed = first[k] / (1 - 0.9**step), second[k] / (1 - 0.99**step)
-                tagger.weights[k] -= (rate * fixed[0] / (np.sqrt(fixed[1]) + 1e-8)).astype(np.float32)
+    order = np.empty(0, np.int64)
+    for step in range(1, steps + 1):
+        if not len(order):
+            order = random.permutation(len(x))
+        chosen, order = order[:batch], order[batch:]
+        rate = 0.02 * (0.5 + 0.5 * np.cos(np.pi * step / steps)) + 0.001
+        _, grads = tagger.gradients(x[chosen], gold[chosen])
+        norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
+        for k, g in grads.items():
+            g = g * min(1.0, 5.0 / (norm + 1e-9))
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.99 * second[k] + 0.01 * g * g
+            fixed = first[k] / (1 - 0.9**step), second[k] / (1 - 0.99**step)
+            tagger.weights[k] -= (rate * fixed[0] / (np.sqrt(fixed[1]) + 1e-8)).astype(np.float32)
     return tagger

@@ -19,6 +19,7 @@ EVERY_ROW = {
     "op8_personal_data": "documents",
     "op9_near_copies": "documents",
     "op10_token_scan": "documents",
+    "op11_token_alignment": "documents",
 }
 
 

@@ -88,6 +88,25 @@ def test_tagger_adds_what_the_rules_miss_and_spares_clean_texts(spark):
     assert extra <= 4
 
 
+def test_the_sample_has_every_kind_and_nothing_doubtful(spark):
+    docs = _corpus(spark)
+    rows = personal_data.training_windows(docs, Detector(sample=200)).collect()
+    by_kind = {k: sum(r.kind == k for r in rows) for k in {r.kind for r in rows}}
+    assert set(by_kind) == {*personal_data.KINDS, ""} and max(by_kind.values()) <= 40
+    assert min(by_kind[k] for k in ("email", "ip", "phone", "")) == 40
+    assert len({r.part for r in rows}) == len(rows)
+    assert not any("+1 (269) 555-3296 4524132264652876" in r.part for r in rows)
+
+
+def test_a_small_table_is_learnt_from_too(spark):
+    docs = _corpus(spark).where("doc_id < 120")
+    tagger = personal_data.trained(docs, Detector())
+    texts = [f"call ({200 + i}) 555-{2000 + i} or mail some.name{i} @ host{i}.example.com" for i in range(40)]
+    proposals = personal_data.tagged_spans(texts, tagger, Detector())
+    found = {kind: sum(any(s[1] == kind for s in p) for p in proposals) for kind in ("phone", "email")}
+    assert found["phone"] >= 30 and found["email"] >= 30
+
+
 def test_edges(spark, documents, no_documents):
     found = personal_data.detected(documents, Detector(epochs=1)).collect()
     assert len(found) == documents.count()
