@@ -31,8 +31,16 @@ from duebook.plans import facts
 from duebook.plans.ingest import silver_cases as type_and_flag
 from duebook.plans.ingest import trusted_metrics
 from duebook.plans.publish import publish_fact
-from duebook.sources.storage import replace_partition, shared_folder, stage
+from duebook.sources.storage import (
+    changed_partitions,
+    refresh_digests,
+    replace_partition,
+    shared_folder,
+    stage,
+    total_fingerprint,
+)
 from duebook.sources.storage import snapshot_fingerprint as fingerprint
+from duebook.sources.upsert import upsert
 
 CASES_WITH_DEBTORS = "SELECT * FROM v_cases_raw JOIN v_debtors USING (debtor_key)"
 
@@ -326,6 +334,64 @@ def snapshot_fingerprint(spark, sf):
     return fingerprint(fx.payments_raw(spark, sf))
 
 
+_MONTHLY_VALUES = ", ".join(
+    f"coalesce(concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), 'N')"
+    for c in ("payment_id", "case_reference", "payment_date", "amount", "channel", "payment_month")
+)
+_CHANGED = "payment_date >= DATE '1998-10-01'"
+
+
+@query(
+    over_views(
+        f"""
+SELECT scope, payment_month, count(*) AS rows, concat_ws('-',
+         CAST(sum(CAST(CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS VARCHAR),
+         CAST(sum(CAST(CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS DECIMAL(38,0))) AS VARCHAR)
+       ) AS content_hash, any_value(change) AS change
+FROM (SELECT scope, CASE WHEN scope = 'month' THEN payment_month END AS payment_month, digest,
+             CASE WHEN scope = 'month' AND changed THEN 'changed' ELSE '' END AS change
+      FROM (SELECT payment_month, changed, md5(concat_ws('|', {_MONTHLY_VALUES})) AS digest
+            FROM (SELECT payment_id, case_reference, payment_date, channel,
+                         CASE WHEN {_CHANGED} THEN CAST(amount + 1 AS DECIMAL(18,2)) ELSE amount END AS amount,
+                         strftime(payment_date, '%Y-%m') AS payment_month, {_CHANGED} AS changed FROM v_payments))
+           CROSS JOIN (VALUES ('month'), ('table')) t(scope))
+GROUP BY scope, payment_month"""
+    )
+)
+def digests_by_month(spark, sf):
+    """Digests of monthly payments before and after corrections: only the corrected months are read again."""
+    folder = shared_folder(spark, "digests")
+    suffix = folder.rsplit("-", 1)[1]
+    table, before, after = (f"{n}_{suffix}" for n in ("payments", "digests", "digests_after"))
+    month = F.date_format("payment_date", "yyyy-MM")
+    columns = ["payment_id", "case_reference", "payment_date", "amount", "channel"]
+    payments = fx.payments(spark, sf).select(*columns, month.alias("payment_month"), F.lit(1).alias("arrived"))
+    upsert(payments, table, ["payment_id"], "payment_month", ["arrived"], f"{folder}/{table}")
+    shown = f"{table}_shown"
+    spark.table(table).drop("arrived").createOrReplaceTempView(shown)
+    for name in (before, after):
+        refresh_digests(spark, shown, name, "payment_month", path=f"{folder}/{name}")
+    corrected = payments.where(_CHANGED).withColumns({"amount": F.col("amount") + 1, "arrived": F.lit(2)})
+    corrected = corrected.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    done = upsert(corrected, table, ["payment_id"], "payment_month", ["arrived"])
+    spark.table(table).drop("arrived").createOrReplaceTempView(shown)
+    refresh_digests(spark, shown, after, "payment_month", done.partitions, path=f"{folder}/{after}")
+    found = spark.table(after)
+    changes = changed_partitions(spark.table(before), found, "payment_month")
+    months = found.join(changes, "payment_month", "left").select(
+        F.lit("month").alias("scope"),
+        "payment_month",
+        "rows",
+        F.concat_ws("-", F.col("sum_0").cast("string"), F.col("sum_1").cast("string")).alias("content_hash"),
+        F.coalesce("change", F.lit("")).alias("change"),
+    )
+    whole = total_fingerprint(found).select(
+        F.lit("table").alias("scope"), F.lit(None).cast("string").alias("payment_month"), "rows", "content_hash",
+        F.lit("").alias("change"),
+    )
+    return months.unionByName(whole)
+
+
 @query(
     over_views(
         """

@@ -220,26 +220,91 @@ def create_reference_tables(
     return created
 
 
-def snapshot_fingerprint(df: DataFrame, batch_column: str | None = None) -> DataFrame:
-    """One row that identifies the content of a table, whatever the order of its rows.
-
-    A row's digest takes every value with its length, and NULL as a mark of its own, so a value that
-    moves to another column shows. Two numbers of each digest are summed as decimals: copies
-    count, and the sums cannot wrap around.
-    """
-    values = [F.col(f"`{c}`").cast("string") for c in df.columns]
+def _digest(columns: Sequence[str]) -> Column:
+    """A row's digest takes every value with its length, and NULL as a mark of its own, so a value that
+    moves to another column shows."""
+    values = [F.col(f"`{c}`").cast("string") for c in columns]
     marked = [
         F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("N")) for v in values
     ]
-    digest = F.md5(F.concat_ws("|", *marked))
+    return F.md5(F.concat_ws("|", *marked))
+
 
-    def total(part: int) -> Column:
-        number = F.conv(F.substring("_digest", 1 + 15 * part, 15), 16, 10).cast("decimal(38,0)")
-        return F.coalesce(F.sum(number), F.lit(0)).cast("string")
+def _digest_sum(part: int) -> Column:
+    """Numbers of the digests, summed as decimals: copies count, and the sum cannot wrap around."""
+    number = F.conv(F.substring("_digest", 1 + 15 * part, 15), 16, 10).cast("decimal(38,0)")
+    return F.coalesce(F.sum(number), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)")
 
+
+def snapshot_fingerprint(df: DataFrame, batch_column: str | None = None) -> DataFrame:
+    """One row that identifies the content of a table, whatever the order of its rows."""
     batch = F.max(batch_column) if batch_column else F.lit(None).cast("string")
-    return df.withColumn("_digest", digest).agg(
+    return df.withColumn("_digest", _digest(df.columns)).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.concat_ws("-", total(0), total(1)).alias("content_hash"),
+        F.concat_ws("-", *(_digest_sum(i).cast("string") for i in (0, 1))).alias("content_hash"),
         batch.alias("latest_batch"),
     )
+
+
+def partition_digests(
+    df: DataFrame, partition: str, batch_column: str | None = None
+) -> DataFrame:
+    """The parts of a fingerprint, one row per partition. They add up: see :func:`total_fingerprint`."""
+    batch = F.max(batch_column) if batch_column else F.lit(None).cast("string")
+    return df.withColumn("_digest", _digest(df.columns)).groupBy(partition).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *(_digest_sum(i).alias(f"sum_{i}") for i in (0, 1)),
+        batch.alias("latest_batch"),
+    )
+
+
+def total_fingerprint(digests: DataFrame) -> DataFrame:
+    """What :func:`snapshot_fingerprint` gives for the whole table, from its partitions' digests alone."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    sums = [
+        F.coalesce(F.sum(c), zero).cast("decimal(38,0)").cast("string") for c in ("sum_0", "sum_1")
+    ]
+    return digests.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.concat_ws("-", *sums).alias("content_hash"),
+        F.max("latest_batch").alias("latest_batch"),
+    )
+
+
+def refresh_digests(
+    spark: SparkSession,
+    table: str,
+    digest_table: str,
+    partition: str,
+    changed: Sequence[str] | None = None,
+    batch_column: str | None = None,
+    path: str | None = None,
+) -> None:
+    """Bring a table of digests up to date, reading only the ``changed`` partitions of ``table``.
+
+    Without ``changed``, or for the first time, every partition is read. The digests of a partition are one
+    row, so the whole digest table is staged and replaced; partitions that are gone lose theirs.
+    """
+    current = spark.table(table)
+    first = changed is None or not spark.catalog.tableExists(digest_table)
+    fresh = partition_digests(
+        current if first else current.where(F.col(partition).isin(*changed)), partition, batch_column
+    )
+    if not first:
+        kept = spark.table(digest_table).where(~F.col(partition).isin(*changed))
+        fresh = kept.unionByName(fresh)
+    with staged(fresh, "digests") as rows:
+        write_table(rows.coalesce(1), digest_table, path=path)
+
+
+def changed_partitions(before: DataFrame, after: DataFrame, partition: str) -> DataFrame:
+    """Partitions that two digest tables tell apart, as ``added``, ``removed`` or ``changed``."""
+    old = before.select(partition, F.struct("rows", "sum_0", "sum_1").alias("_old"))
+    new = after.select(partition, F.struct("rows", "sum_0", "sum_1").alias("_new"))
+    change = (
+        F.when(F.col("_old").isNull(), "added")
+        .when(F.col("_new").isNull(), "removed")
+        .otherwise("changed")
+    )
+    both = old.join(new, partition, "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    return both.select(partition, change.alias("change"))

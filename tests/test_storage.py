@@ -130,3 +130,24 @@ def test_buckets_are_used_only_where_they_are_even(spark, fresh_name):
     assert write_bucketed(rows.limit(0), empty, "k", 8) and spark.table(empty).isEmpty()
     with pytest.raises(ValueError, match="differ"):
         write_bucketed(rows.select("k"), even, "k", 8)
+
+
+def test_digests_of_partitions_add_up_and_tell_what_changed(spark, fresh_name):
+    table, digests = fresh_name("digested"), fresh_name("digests")
+    rows = spark.range(60).select("id", (F.col("id") % 3).cast("string").alias("part"), F.lit("b1").alias("batch"))
+    storage.write_table(rows, table, partition_by=["part"])
+    storage.refresh_digests(spark, table, digests, "part", batch_column="batch")
+    before = spark.createDataFrame(spark.table(digests).collect(), spark.table(digests).schema)
+    whole = storage.snapshot_fingerprint(spark.table(table), "batch").first()
+    assert storage.total_fingerprint(before).first() == whole
+
+    storage.replace_partition(rows.where("part = '1'").drop("part").limit(5), table, "part", "1")
+    storage.replace_partition(rows.where("part = '2'").drop("part").limit(0), table, "part", "2")
+    storage.replace_partition(rows.where("part = '0'").drop("part"), table, "part", "7")
+    storage.refresh_digests(spark, table, digests, "part", ["1", "2", "7"], "batch")
+    after = spark.table(digests)
+    assert storage.total_fingerprint(after).first() == storage.snapshot_fingerprint(spark.table(table), "batch").first()
+    changes = {r.part: r.change for r in storage.changed_partitions(before, after, "part").collect()}
+    assert changes == {"1": "changed", "2": "removed", "7": "added"}
+    empty = storage.total_fingerprint(after.limit(0)).first()
+    assert (empty.rows, empty.content_hash) == (0, "0-0")
