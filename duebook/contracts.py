@@ -1,8 +1,7 @@
 """Schema contracts of every layer, and the step that enforces them.
 
-Raw case files are text throughout: a value is cast in the silver step, where a failed
-cast is a rule failure that can be quarantined, not a NULL nobody sees.
-Money and rates are fixed point, never floating point.
+A contract names the columns of a layer, their order and their types; :func:`conform` applies one to a frame and
+turns every value it cannot type, and every NULL it must not have, into a named failure of the row.
 """
 
 from __future__ import annotations
@@ -72,6 +71,7 @@ SILVER_CASES = StructType(
     ]
 )
 
+# Fixed values from here on: names, order and types of columns are the contract.
 PAYMENTS = StructType(
     [
         StructField("payment_id", StringType(), False),
@@ -120,7 +120,7 @@ FORECAST_CURVE = StructType(
     ]
 )
 
-# One row per owned portfolio and month.
+# Fixed values as well. One row per owned portfolio and month.
 INVESTING_FACT = StructType(
     [
         StructField("portfolio_id", StringType(), False),

@@ -129,7 +129,8 @@ def check_error_rate(metrics: Mapping[str, int], threshold: float) -> None:
 
 
 def case_rules(as_of: date) -> list[Rule]:
-    """Rules for typed cases. Currencies and the factor of three are fixed values."""
+    """Rules for typed cases."""
+    # Names, limits, currencies and severities of the rules.
     return [
         Rule(
             "case_reference_present",
@@ -171,6 +172,7 @@ def case_rules(as_of: date) -> list[Rule]:
 
 
 def payment_rules(as_of: date) -> list[Rule]:
+    # Names, limits and severities of the rules.
     return [
         Rule("payment_amount_positive", "amount > 0", ERROR),
         Rule("payment_date_not_future", f"payment_date <= DATE'{as_of.isoformat()}'", ERROR),

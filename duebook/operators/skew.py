@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duebook.operators.joins import join_large
+
 SALT = "_salt"
 
 
@@ -21,6 +23,29 @@ def measure_skew(df: DataFrame, key: str, top_n: int = 10) -> DataFrame:
     )
 
 
+def hot_keys(df: DataFrame, key: str, least_share: float, tracked: int = 10_000) -> DataFrame:
+    """Every non-NULL key with at least ``least_share`` of the non-NULL rows: ``rows`` and ``share``, exact.
+
+    A mergeable frequent-items sketch of at most ``tracked`` keys per task finds the candidates in one pass
+    without a shuffle of rows; a key's estimate can be off by some 5 / ``tracked`` of all rows, so the
+    candidates hold every key that is asked for. Only they are counted, exactly, in a second pass. There are
+    at most 1 / ``least_share`` of them, so they are small enough to name in a plan.
+    """
+    if not 10 / tracked <= least_share <= 1:
+        raise ValueError(f"{tracked} tracked keys find shares from {10 / tracked} to 1")
+    present = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    candidates = min(tracked, int(2 / least_share) + 1)
+    sketch = F.expr(f"approx_top_k(_key, {candidates}, {tracked})")
+    found = present.agg(sketch.alias("found")).first().found or []
+    named = [entry["item"] for entry in found]
+    counts = present.groupBy(F.when(F.col("_key").isin(named), F.col("_key")).alias(key)).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    total = F.sum("rows").over(Window.partitionBy())  # over the candidates' counts and one for the rest
+    shares = counts.withColumn("share", F.col("rows") / total)
+    return shares.where(F.col(key).isNotNull() & (F.col("share") >= least_share))
+
+
 def _spread(df: DataFrame, n_salts: int, by: Sequence[str] | None) -> Column:
     """A bucket that is the same when a task is run again.
 
@@ -67,13 +92,18 @@ def salted_join(
     n_salts: int = 16,
     hot: Sequence | None = None,
     by: Sequence[str] | None = None,
+    least_share: float | None = None,
 ) -> DataFrame:
     """Inner join on ``key`` with each hot key of ``big`` spread over ``n_salts`` tasks.
 
     Joins on the two columns (key, salt), not on a concatenated text, so NULL keys match
     nothing. Name the ``hot`` keys when they are known: then only their rows in ``small``
-    are repeated.
+    are repeated. With ``least_share`` they are found: keys with that share of the rows of ``big``.
     """
+    if hot is None and least_share is not None:
+        hot = [row[key] for row in hot_keys(big, key, least_share).collect()]
+        if not hot:
+            return join_large(big, small, key)
     left = add_salt(big.where(F.col(key).isNotNull()), n_salts, key, hot, by)
     right = explode_salt(small.where(F.col(key).isNotNull()), n_salts, key, hot)
     return left.join(right, [key, SALT]).drop(SALT)

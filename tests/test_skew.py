@@ -79,3 +79,34 @@ def test_average_of_nothing_is_null(spark, ansi):
     df = spark.createDataFrame([("a", None), ("b", Decimal(2))], "k string, v decimal(18,2)")
     rows = {r["k"]: r["v_avg"] for r in skew.aggregate_skewed(df, "k", "v").collect()}
     assert rows["a"] is None and rows["b"] == 2
+
+
+def test_hot_keys_are_whole_and_exact(spark):
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 50 == 1, "warm")
+        .when(F.col("id") % 97 == 2, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+        .alias("k")
+    )
+    exact = {r.k: r["count"] for r in rows.where("k IS NOT NULL").groupBy("k").count().collect()}
+    total = sum(exact.values())
+    for share in (0.01, 0.3, 0.5):
+        found = skew.hot_keys(rows, "k", share).collect()
+        assert {r.k: r.rows for r in found} == {k: n for k, n in exact.items() if n >= share * total}
+        assert all(r.share == pytest.approx(r.rows / total) for r in found)
+    assert skew.hot_keys(rows.limit(0), "k", 0.1).isEmpty()
+    with pytest.raises(ValueError):
+        skew.hot_keys(rows, "k", 0.0001)
+
+
+def test_salted_join_finds_its_hot_keys(spark, cases):
+    small = cases.select("portfolio_id").distinct().withColumn("n", F.lit(1))
+    plain = cases.join(small, "portfolio_id")
+    salted = skew.salted_join(cases, small, "portfolio_id", 7, by=["case_reference"], least_share=0.2)
+    assert bag(salted.select(*plain.columns)) == bag(plain)
+    text = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert defects.HOT_PORTFOLIO in text
+    none = skew.salted_join(cases, small, "portfolio_id", least_share=0.9)
+    assert bag(none.select(*plain.columns)) == bag(plain)
+    assert "_salt" not in none._jdf.queryExecution().optimizedPlan().toString()
