@@ -58,6 +58,10 @@ HEADLINE = [
     "inject_defects",
     "generate_payments",
     "snapshot_fingerprint",
+    "ingest_payments",
+    "features_from_buckets",
+    "digests_by_month",
+    "hot_keys",
 ]
 
 

@@ -1,7 +1,7 @@
 """Measure the alternatives the design decided against; prints one JSON line of seconds.
 
 Native pseudonym against a row-at-a-time Python function, all rules in one pass against one pass
-per rule, and a skewed join and sum with and without salt. The input is the payments and cases
+per rule, a skewed join and sum with and without salt, and a backfill of 100 and 200 dates. The input is the payments and cases
 of $BENCH_SF_DIR, spread over $BENCH_CPUS files and repeated $BENCH_COPIES times.
 """
 
@@ -12,6 +12,7 @@ import hmac
 import json
 import os
 import time
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from duebook.catalog.registry import PEPPER, RULES_AS_OF
 from duebook.functions.privacy import pseudonym
 from duebook.operators import skew
 from duebook.operators.quality import case_rules, rule_metrics
+from duebook.plans import features
 from duebook.sources.storage import shared_folder
 
 
@@ -51,7 +53,7 @@ def main() -> None:
     copies = int(os.environ.get("BENCH_COPIES", "8"))
     spark = session(cpus)
 
-    def written(df, name):
+    def written(df, name, copies=copies):
         path = shared_folder(spark, f"compare-{name}")
         many = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
         many.repartition(int(cpus)).write.parquet(path)
@@ -68,6 +70,13 @@ def main() -> None:
         for rule in rules:
             cases.where(~F.coalesce(F.expr(rule.passes), F.lit(False))).count()
 
+    def backfill(n):
+        dates = [date(1996, 1, 1) + timedelta(days=5 * i) for i in range(n)]
+        rows = features.training_set_backfill(few, owned, dates)
+        return run(rows.groupBy("as_of_date").agg(F.sum("amount_paid_90d"), F.count_if(features.LABEL)))
+
+    few = written(fx.payments(spark, sf_dir), "once", 1)
+    owned = written(fx.cases(spark, sf_dir).select("case_reference"), "owned", 1)
     merged = portfolios.hint("merge")
     result = {
         "pseudonym_native": seconds(run(payments.select(pseudonym(F.col("payment_id"), PEPPER)))),
@@ -83,6 +92,8 @@ def main() -> None:
         ),
         "sum_plain": seconds(run(skewed.groupBy("portfolio_id").agg(F.sum("original_balance")))),
         "sum_salted": seconds(run(skew.aggregate_skewed(skewed, "portfolio_id", "original_balance"))),
+        "backfill_100_dates": seconds(backfill(100)),
+        "backfill_200_dates": seconds(backfill(200)),
         "payments": payments.count(),
         "cases": cases.count(),
     }

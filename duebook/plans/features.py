@@ -14,10 +14,11 @@ between them, so the gap statistics follow from the distinct days and the paymen
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duebook.functions.dates import month_of
@@ -26,6 +27,19 @@ from duebook.operators.joins import as_of_slice, join_large, valid_at
 LABEL_HORIZON_DAYS = 90
 LABEL = "label_paid_90d"
 
+#: What a payment day changes at a date: counts, sums, and the ends of the history.
+_CHANGES = {
+    "n": "bigint",
+    "paid": "decimal(28,2)",
+    "paid_30": "decimal(28,2)",
+    "paid_90": "decimal(28,2)",
+    "months": "bigint",
+    "squares": "bigint",
+    "horizon": "decimal(28,2)",
+    "first": "date",
+    "last": "date",
+}
+
 _ZERO_WHEN_NEVER_PAID = [
     "payments_count_lifetime",
     "amount_paid_lifetime",
@@ -220,24 +234,18 @@ def training_set_backfill(
 ) -> DataFrame:
     """Training rows for many days at once: one row per valid case and day.
 
-    Gaps only look backwards, so they are computed once for all days. The dates are expanded
-    after the payments are partitioned by case, and the results are joined to the cases as one
-    list per case: more dates cost more arithmetic, but not one more shuffled row. A payment that
-    counts for one date counts for every later one, so a case's list ends with the last date and its
-    entry for any date is found by its place; the list is taken apart as the rows are made.
+    Between two dates a case's measures change only by the days that become known, that grow too old for a
+    trailing window, or that come into the label's horizon. Every payment day is turned into those few changes,
+    and running sums over a case's changes give the measures of all dates: the work is payment days plus
+    dates, not their product. The results are joined to the cases as one list per case. A case that has
+    changed once has measures at every later date, so its list ends with the last date, its entry for any
+    date is found by its place, and it is taken apart as the rows are made.
     """
     dates = sorted(set(as_of_dates))
     every_date = F.array(*[F.lit(d) for d in dates])
     until = dates[-1] + timedelta(days=LABEL_HORIZON_DAYS)
     days = payment_days(payments.where(F.col("payment_date") < F.lit(until)))
-    relevant = F.filter(
-        every_date, lambda d: F.col("payment_date") < F.date_add(d, LABEL_HORIZON_DAYS)
-    )
-    per_date = (
-        days.withColumn("as_of_date", F.explode(relevant))
-        .groupBy("case_reference", "as_of_date")
-        .agg(*_measures(F.col("as_of_date")))
-    )
+    per_date = _measures_by_date(days, dates)
     measures = [c for c in per_date.columns if c not in ("case_reference", "as_of_date")]
     per_case = per_date.groupBy("case_reference").agg(
         F.array_sort(F.collect_list(F.struct("as_of_date", *measures))).alias("_by_date")
@@ -257,6 +265,98 @@ def training_set_backfill(
     )
 
 
+def _calendar(spark: SparkSession, dates: Sequence[date]) -> DataFrame:
+    """For each day on which something can change: the places of the dates at which it does.
+
+    ``known``: the first date after the day. ``out_30``, ``out_90``: the first for which it is too old.
+    ``near``: the first whose horizon holds it. A place behind the last date means never. Its size is
+    the span of the dates: earlier days stand at the first day, where they are already too old.
+    """
+    span = (dates[-1] - dates[0]).days + LABEL_HORIZON_DAYS
+    first = dates[0] - timedelta(days=91)
+    rows = []
+    for i in range(span + 92):
+        day = first + timedelta(days=i)
+        after = [day, day + timedelta(days=30), day + timedelta(days=90), day - timedelta(days=LABEL_HORIZON_DAYS)]
+        rows.append((day, *(bisect_right(dates, d) for d in after)))
+    return spark.createDataFrame(rows, "_day date, known int, out_30 int, out_90 int, near int")
+
+
+def _measures_by_date(days: DataFrame, dates: Sequence[date]) -> DataFrame:
+    """:func:`_measures` of every case and date from its first change on, from running sums of changes."""
+    first_day = F.lit(dates[0] - timedelta(days=91))
+    calendar = F.broadcast(_calendar(days.sparkSession, dates))  # one row per day of the dates' span
+    placed = days.join(calendar, F.greatest("payment_date", first_day) == F.col("_day"))
+    amount, minus = F.col("amount"), -F.col("amount")
+    gap = F.datediff("payment_date", "previous_date").cast("bigint")
+    new_month = ~F.coalesce(month_of("payment_date") == month_of("previous_date"), F.lit(False))
+
+    def change(place: str, happens: Column, **values: Column) -> Column:
+        fields = [F.col(place).alias("place")]
+        for name, kind in _CHANGES.items():
+            fields.append(values.get(name, F.lit(None)).cast(kind).alias(name))
+        return F.when(happens & (F.col(place) < len(dates)), F.struct(*fields))
+
+    known, out_30, out_90, near = (F.col(c) for c in ("known", "out_30", "out_90", "near"))
+    in_30, in_90, ahead = out_30 > known, out_90 > known, near < known
+    changes = F.array_compact(
+        F.array(
+            change(
+                "known",
+                F.lit(True),
+                n=F.col("n_payments"),
+                paid=amount,
+                paid_30=F.when(in_30, amount),
+                paid_90=F.when(in_90, amount),
+                months=new_month.cast("bigint"),
+                squares=gap * gap,
+                horizon=F.when(ahead, minus),
+                first=F.col("payment_date"),
+                last=F.col("payment_date"),
+            ),
+            change("out_30", in_30, paid_30=minus),
+            change("out_90", in_90, paid_90=minus),
+            change("near", ahead, horizon=amount),
+        )
+    )
+    sums = [c for c in _CHANGES if c not in ("first", "last")]
+    events = (
+        placed.select("case_reference", F.inline(changes))
+        .groupBy("case_reference", "place")
+        .agg(*[F.sum(c).alias(c) for c in sums], F.min("first").alias("first"), F.max("last").alias("last"))
+    )
+    by_place = Window.partitionBy("case_reference").orderBy("place")
+    so_far = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = {c: F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(c) for c in sums}
+    running = events.select(
+        "case_reference",
+        "place",
+        F.coalesce(F.lead("place").over(by_place), F.lit(len(dates))).alias("_next"),
+        *total.values(),
+        F.min("first").over(so_far).alias("first"),
+        F.max("last").over(so_far).alias("last"),
+    )
+    count = F.col("n") - 1
+    n, gaps = count.cast("decimal(19,0)"), F.datediff("last", "first")
+    spread = n * F.col("squares") - gaps.cast("decimal(19,0)") * gaps
+    variance = spread.cast("double") / (count.cast("double") * (count - 1))
+    every_date = F.array(*[F.lit(d) for d in dates])
+    held = F.slice(every_date, F.col("place") + 1, F.col("_next") - F.col("place"))
+    return running.select(
+        "case_reference",
+        F.explode(held).alias("as_of_date"),
+        F.col("n").alias("payments_count_lifetime"),
+        F.col("paid").alias("amount_paid_lifetime"),
+        F.col("last").alias("last_payment_date"),
+        F.col("paid_30").alias("amount_paid_30d"),
+        F.col("paid_90").alias("amount_paid_90d"),
+        F.col("months").alias("distinct_months_paid"),
+        F.when(count >= 1, gaps / count.cast("double")).alias("avg_days_between_payments"),
+        F.when(count >= 2, F.sqrt(variance)).alias("stddev_days_between_payments"),
+        F.col("horizon").alias("_paid_in_horizon"),
+    )
+
+
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows by which two frames differ as bags, with how many more copies ``after`` has.
 

@@ -155,7 +155,8 @@ def test_gap_statistics_of_few_payments(spark, days):
 
 def test_backfill_equals_single_days(spark, random_payments):
     cases = spark.createDataFrame([(f"C{i}",) for i in range(14)], "case_reference string")
-    days = [date(2023, 1, 10), date(2023, 2, 1), date(2023, 4, 1)]
+    days = [date(2022, 9, 1), date(2022, 12, 31), date(2023, 1, 10), date(2023, 1, 11), date(2023, 2, 1)]
+    days += [date(2023, 3, 2), date(2023, 4, 1), date(2023, 5, 30), date(2023, 6, 1), date(2024, 1, 1)]
     found = features.training_set_backfill(random_payments, cases, days)
     expected = [
         r for d in days for r in features.training_set(random_payments, cases, d)
