@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from duebook import fixtures as fx
 from duebook.catalog.registry import bucketed_silver, money, query
 from duebook.contracts import INVESTING_FACT, SERVICING_FACT, conform
-from duebook.operators.joins import as_of_slice, join_large, join_valid_version
+from duebook.operators.joins import (
+    as_of_slice,
+    join_large,
+    join_valid_version,
+    join_version_by_month,
+)
 from duebook.operators.quality import FAILURES
 from duebook.oracles import SERVICING_SELECT, over_views
 from duebook.plans import facts
@@ -197,19 +202,33 @@ def unmatched_portfolios(spark, sf):
     return money(out, "collections_actual")
 
 
-@query(
-    over_views(
-        """
+SCD2_RATE_SQL = over_views(
+    """
 SELECT m.client_id, m.case_reference, m.as_of_month, c.commission_rate, c.sla_target_days
 FROM m LEFT JOIN v_contracts c ON m.client_id = c.client_id AND c.valid_from <= m.as_of_month
      AND m.as_of_month < coalesce(c.valid_to, DATE '9999-12-31')""",
-        ("m", CASE_MONTHS),
-    )
+    ("m", CASE_MONTHS),
 )
-def join_scd2_rate(spark, sf):
+
+
+def _rated_months(spark, sf):
     months = facts.collections_by_client_case(fx.payments(spark, sf), fx.cases(spark, sf))
-    keys = months.select("client_id", "case_reference", "as_of_month")
-    return join_valid_version(keys, fx.contracts(spark, sf), "client_id", "as_of_month")
+    return months.select("client_id", "case_reference", "as_of_month")
+
+
+@query(SCD2_RATE_SQL)
+def join_scd2_rate(spark, sf):
+    return join_valid_version(
+        _rated_months(spark, sf), fx.contracts(spark, sf), "client_id", "as_of_month"
+    )
+
+
+@query(SCD2_RATE_SQL)
+def join_scd2_by_month(spark, sf):
+    """The same answer by the way that large version tables take."""
+    return join_version_by_month(
+        _rated_months(spark, sf), fx.contracts(spark, sf), "client_id", "as_of_month"
+    )
 
 
 def _servicing(spark, sf, price_on="month_start"):

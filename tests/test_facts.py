@@ -1,7 +1,8 @@
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 
 from duebook.contracts import (
     INVESTING_FACT,
@@ -9,7 +10,7 @@ from duebook.contracts import (
     SILVER_CASES,
     conform,
 )
-from duebook.operators.joins import as_of_slice, broadcast_if_small, join_valid_version
+from duebook.operators.joins import as_of_slice, broadcast_if_small, join_valid_version, join_version_by_month
 from duebook.operators.quality import FAILURES, split
 from duebook.plans import facts
 
@@ -253,6 +254,31 @@ def test_large_version_tables_are_merged_with_the_same_result(spark, contracts):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_client_with_many_versions_is_joined_by_month(spark):
+    first = date(2000, 1, 1)
+    rows = [("A", i, first + timedelta(days=i), first + timedelta(days=i + 1)) for i in range(10_000)]
+    rows += [
+        ("B", -1, date(1990, 1, 1), None), ("B", -2, None, date(2030, 1, 1)),
+        ("B", -3, date(2010, 1, 1), date(2010, 1, 1)), (None, -4, date(1990, 1, 1), None),
+    ]
+    versions = spark.createDataFrame(rows, "client_id string, v int, valid_from date, valid_to date")
+    wanted = {
+        ("A", first): 0, ("A", first + timedelta(days=9_999)): 9_999, ("A", first + timedelta(days=10_000)): None,
+        ("A", date(1999, 12, 31)): None, ("A", date(2010, 2, 28)): 3_711, ("B", date(2010, 1, 1)): -1,
+        ("B", date(2040, 1, 1)): -1, ("C", first): None, (None, first): None, ("A", None): None,
+    }
+    days = spark.createDataFrame(list(wanted) * 3, "client_id string, day date")
+    for span in (None, (date(1999, 1, 1), date(2040, 12, 31))):
+        out = join_version_by_month(days, versions, "client_id", "day", span)
+        assert out.columns == ["client_id", "day", "v"]
+        expected = [str(Row(client_id=c, day=d, v=v)) for (c, d), v in wanted.items()] * 3
+        assert sorted(map(str, out.collect())) == sorted(expected)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "SortMergeJoin [client_id" in plan and "_month" in plan
+    assert join_version_by_month(days.where("false"), versions, "client_id", "day").isEmpty()
+    assert join_version_by_month(days, versions.where("false"), "client_id", "day").count() == 30
+
+
 def test_broadcast_only_below_the_bound(spark):
     plan = lambda df: df._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan(broadcast_if_small(spark.range(10), max_rows=10))
