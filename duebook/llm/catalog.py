@@ -83,7 +83,8 @@ WITH d AS (
     ELSE greatest(m * (1 - m) / (between_hosts - m * (1 - m) * per_doc) - 1, 1.0) END AS strength
   FROM moments
 ), v AS (
-  SELECT host, (failures + m * strength) / (docs + strength) > 0.5 AS host_failed FROM h, prior
+  SELECT host, (failures + m * strength) / (docs + strength)
+         > least(m + sqrt(m * (1 - m) / (strength + 1)), 0.5) AS host_failed FROM h, prior
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR (host_failed AND rule_failed)) AS kept

@@ -19,7 +19,9 @@ from duebook.llm.common import WORD, bind, packed, staged, words_of
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 8
-#: A host fails if its shrunken failure rate is above this share.
+#: A host fails if its shrunken failure rate is more than so many standard deviations of the fitted prior
+#: above the prior's mean, and at the latest above this share.
+HOST_DEVIATIONS = 1.0
 HOST_LIMIT = 0.5
 
 
@@ -105,12 +107,18 @@ def rule_failed() -> Column:
     )
 
 
-def host_verdicts(measures: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts(
+    measures: DataFrame, limit: float = HOST_LIMIT, deviations: float = HOST_DEVIATIONS
+) -> DataFrame:
     """One row per host: documents, failures, shrunken rate, and whether the host fails.
 
     The prior is fitted by moments: mean ``m`` over all documents, and the variance ``v`` between
     the hosts' rates beyond what chance explains; its strength is ``m(1-m)/v - 1`` documents, held
     between 1 and 10,000 (hosts that do not differ are shrunk fully).
+
+    The limit follows the prior: ``m + deviations * sqrt(m(1-m) / (strength + 1))``, at most ``limit``.
+    A host of few documents stays near ``m`` and needs far more failures than one of many to pass it;
+    where hosts differ by no more than chance, none does.
     """
     # used three times below, and the texts are measured only once for it
     hosts = staged(
@@ -138,22 +146,26 @@ def host_verdicts(measures: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     shrunk = (F.col("failures") + F.col("m") * F.col("strength")) / (
         F.col("docs") + F.col("strength")
     )
+    deviation = F.sqrt(F.col("m") * (1 - F.col("m")) / (F.col("strength") + 1))
+    bound = F.least(F.col("m") + deviations * deviation, F.lit(limit))
     return (
         hosts.withColumn("m", prior.select("m").scalar())
         .withColumn("strength", prior.select("strength").scalar())
-        .select("host", "docs", "failures", shrunk.alias("host_rate"))
-        .withColumn("host_failed", F.col("host_rate") > limit)
+        .select("host", "docs", "failures", shrunk.alias("host_rate"), bound.alias("host_limit"))
+        .withColumn("host_failed", F.col("host_rate") > F.col("host_limit"))
     )
 
 
-def judged(measures: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+def judged(
+    measures: DataFrame, limit: float = HOST_LIMIT, deviations: float = HOST_DEVIATIONS
+) -> DataFrame:
     """The measures with ``base_failed``, ``host_rate`` and ``kept``.
 
     A document goes if it fails a base rule, or if it fails any rule and its host fails too: the
     verdict on a host never condemns a document that passes every rule.
     """
     # a written table has a known size: a small one is broadcast, so the texts are not shuffled
-    hosts = staged(host_verdicts(measures, limit), "host-verdicts").select(
+    hosts = staged(host_verdicts(measures, limit, deviations), "host-verdicts").select(
         F.col("host").alias("judged_host"), "host_rate", "host_failed"
     )
     return (

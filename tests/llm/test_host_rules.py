@@ -42,6 +42,30 @@ def test_host_verdict_spares_documents_that_pass_every_rule(spark):
     assert not kept[0] and kept[900] and kept[901] and kept[1000]
 
 
+def _hosts(spark, hosts):
+    """A table of hosts, each with so many documents, the first of which fail a looser rule."""
+    good = " ".join(f"word{i}" for i in range(40))
+    noisy = good.replace(" ", "# ")
+    rows = [(h * 10_000 + i, noisy if i < bad else good, f"h{h}") for h, (n, bad) in enumerate(hosts) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id int, text string, source string")
+
+
+def test_the_limit_follows_the_prior(spark, tmp_path):
+    # one host of 300 far above the others, and one of 4 with the same share: too few to tell
+    df = _hosts(spark, [(300, 15)] * 8 + [(300, 100), (4, 1)])
+    found = {r.doc_id: r.kept for r in _found(df).collect()}
+    assert all(kept == (not (80_000 <= i < 80_100)) for i, kept in found.items())
+    path = str(tmp_path / "documents")
+    df.coalesce(1).write.parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert dict(duck.execute(f"SELECT doc_id, kept FROM ({HOST_RULES_SQL})").fetchall()) == found
+
+
+def test_hosts_that_differ_by_chance_only_do_not_fail(spark):
+    assert _found(_hosts(spark, [(50, n) for n in (4, 5, 6, 7, 8, 9, 10, 12)])).where("NOT kept").isEmpty()
+
+
 def test_extra_columns_and_empty_tables(documents, no_documents):
     out = unpacked(host_rules.judged(host_rules.measured(documents, F.col("row"))).where("kept"))
     assert out.columns == documents.columns
