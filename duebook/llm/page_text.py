@@ -71,6 +71,12 @@ ATTRIBUTE = re.compile(
 INSIDE_TAG = re.compile(r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=|["'])*+>""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+AT_RULE = re.compile(r"@([\w-]+)([^{};]*)([{;]|\Z)")
+BRACE = re.compile(r"[{}]")
+FEATURE = re.compile(r"\(([^()]*)\)")
+WIDTH = re.compile(r"\s*(min|max)-width\s*:\s*([\d.]+)\s*(px|r?em)\s*")
+#: The screen that style sheets are read for.
+SCREEN_PX = 1280
 SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?")
 
 
@@ -197,6 +203,52 @@ def tree_of(page: str) -> Element:
 Sheet = dict[str, dict[str, str]]
 
 
+def _fits(query: str) -> bool:
+    """Whether one media query holds on a screen of that width; features other than the width do not."""
+    words = FEATURE.sub(" ", query).split()
+    inverted = words[:1] == ["not"]
+    holds = not {"print", "speech"} & set(words)
+    for feature in FEATURE.findall(query):
+        width = WIDTH.fullmatch(feature)
+        if width is None:
+            holds = False
+        else:
+            try:
+                pixels = float(width[2]) * (1 if width[3] == "px" else 16)
+            except ValueError:
+                pixels = float("nan")
+            holds &= SCREEN_PX >= pixels if width[1] == "min" else SCREEN_PX <= pixels
+    return holds != inverted
+
+
+def screen_rules(css: str) -> str:
+    """Style text without the bodies of at-rules that do not apply to the screen.
+
+    ``@media`` applies if one of its queries holds, ``@layer`` and ``@supports`` always (unless negated).
+    What applies only loses its head; the brace that closed it then stands alone and starts no rule.
+    """
+    kept, at = [], 0
+    while found := AT_RULE.search(css, at):
+        kept.append(css[at : found.start()])
+        at = found.end()
+        name, condition = found[1].lower(), found[2].lower().strip()
+        if found[3] != "{":
+            continue
+        if name == "media":
+            applies = not condition or any(map(_fits, condition.split(",")))
+        else:
+            applies = name in ("layer", "supports") and not condition.startswith("not")
+        if not applies:
+            depth = 1
+            for brace in BRACE.finditer(css, at):
+                depth += 1 if brace[0] == "{" else -1
+                if not depth:
+                    break
+            at = brace.end() if not depth else len(css)
+    kept.append(css[at:])
+    return "".join(kept)
+
+
 def sheet_of(root: Element) -> Sheet:
     """display and visibility by simple selector (tag, .class, #id, tag.class) from style elements."""
     rules: Sheet = {}
@@ -205,35 +257,40 @@ def sheet_of(root: Element) -> Sheet:
         element = todo.pop()
         if element.tag == "style":
             css = re.sub(r"/\*.*?\*/", "", "".join(c for c in element.children if isinstance(c, str)), flags=re.S)
-            for selectors, body in RULE.findall(css):
+            for selectors, body in RULE.findall(screen_rules(css)):
                 if "display" in body or "visibility" in body:
                     for selector in selectors.split(","):
                         if SIMPLE.fullmatch(selector.strip()) and selector.strip():
                             rules.setdefault(selector.strip(), {}).update(declarations(body))
-        todo.extend(c for c in element.children if isinstance(c, Element))
+        todo.extend(c for c in reversed(element.children) if isinstance(c, Element))
     return rules
 
 
 def declarations(css: str) -> dict[str, str]:
-    pairs = (d.partition(":") for d in css.lower().split(";"))
-    return {
-        k.strip(): v.replace("!important", "").strip()
-        for k, _, v in pairs
-        if k.strip() in ("display", "visibility")
-    }
+    """display and visibility; important ones under the name with a ``!`` before it."""
+    found = {}
+    for declaration in css.lower().split(";"):
+        name, _, value = (part.strip() for part in declaration.partition(":"))
+        if name in ("display", "visibility"):
+            value, _, flag = (part.strip() for part in value.partition("!"))
+            found["!" + name if flag == "important" else name] = value
+    return found
 
 
 def style_of(element: Element, attributes: dict[str, str], sheet: Sheet) -> dict[str, str]:
+    """What holds for one element: by rank of the selector, then its own style, then what is important."""
     style: dict[str, str] = {}
     if sheet:
-        names = [f".{c}" for c in attributes.get("class", "").split()]
-        if "id" in attributes:
-            names.append(f"#{attributes['id']}")
-        for selector in ("*", element.tag, *names, *(element.tag + x for x in names)):
+        classes = [f".{c}" for c in attributes.get("class", "").split()]
+        ids = [f"#{attributes['id']}"] if "id" in attributes else []
+        ranked = ["*", element.tag]
+        for names in (classes, ids):
+            ranked += [*names, *(element.tag + x for x in names)]
+        for selector in ranked:
             style |= sheet.get(selector, {})
     if "style" in attributes:
         style |= declarations(attributes["style"])
-    return style
+    return style | {k[1:]: v for k, v in style.items() if k[0] == "!"}
 
 
 class Writer:

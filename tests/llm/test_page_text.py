@@ -22,6 +22,15 @@ CASES = {
     "<script>if (a<b) '</p>'</script>x<style>p{}</style>": "x",
     "<p hidden>no</p><p style='Display : none'>no</p>yes": "yes",
     "<style>.a, b.c{display:none}</style><p class='z a'>no<b class=c>no</b><i class=c>yes</i>": "",
+    "<style>@media print{nav{display:none} p{display:none}} b{display:none}</style><nav>x</nav><b>no</b>": "x",
+    "<style>@media print,screen{b{display:none}}</style><b>no</b>x": "x",
+    "<style>@media (max-width:600px){b{display:none}}@media (min-width:40em){i{display:none}}</style><b>x</b><i>no</i>": "x",
+    "<style>@import 'a.css';@media not print{b{display:none}}@page{i{display:none}}</style><b>no</b><i>x</i>": "x",
+    "<style>@media print{b{display:none}</style><b>x</b>": "x",
+    "<style>@layer a{@supports (x:y){b{display:none}} i{display:none}}</style><b>no</b><i>no</i>x": "x",
+    "<style>#k{display:inline}b.c{display:none}</style><b id=k class=c>x</b>": "x",
+    "<style>.c{display:none ! important}</style><b class=c style='display:inline'>no</b>x": "x",
+    "<style>b{display:none}</style><style>b{display:inline}</style><b>x</b>": "x",
     "<style>.a{visibility:hidden}</style><p class=a>no<b style='visibility:visible'>yes</b>": "yes",
     "<details><summary>s</summary>no</details><details open><summary>t</summary>u</details>": "s\nt\nu",
     "<!-- no -->x<!-- cut": "x",
