@@ -224,10 +224,12 @@ def op3_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = token_scan.ranks_of(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
-    files = staged(token_scan.packed_files(docs, ranks, BYTE_PATTERN, END_OF_DOCUMENT), "token-files")
+    folder, names = token_scan.flat_files(docs, ranks, BYTE_PATTERN, END_OF_DOCUMENT)
+    name = F.regexp_extract("file", r"([^/]+)\.bin$", 1)
     return (
-        token_scan.scanned(files, END_OF_DOCUMENT)
-        .join(token_scan.named(files), ["file", "doc_index"])
+        token_scan.scanned(token_scan.file_blocks(spark, folder), END_OF_DOCUMENT)
+        .withColumn("file", name)
+        .join(token_scan.named(names), ["file", "doc_index"])
         .select("doc_id", "n_tokens", "file", "doc_index", "start", "ended")
     )
 
