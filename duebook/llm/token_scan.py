@@ -32,8 +32,9 @@ from duebook.sources.storage import shared_folder
 #: Identifiers of a block, and blocks of a file before the next one is begun at the end of a document.
 BLOCK = 16384
 FILE_BLOCKS = 1024
-#: Blocks of a range, and how many of them are held at once.
+#: Blocks of a range, ranges of a task, and how many blocks are held at once.
 RANGE_BLOCKS = 512
+TASK_RANGES = 8
 HELD_BLOCKS = 32
 KIND = "<u2"
 
@@ -150,16 +151,15 @@ def file_blocks(spark: SparkSession, path: str, width: int = 2, block: int = BLO
     """(file, block, tokens) of the flat files at a path; ``width`` is the bytes of an identifier.
 
     The listing gives names and lengths only. It is cut into ranges, which are spread over the tasks; a
-    task reads its ranges' bytes and nothing else of the file.
+    task reads its ranges' bytes and nothing else of the file. The number of tasks is told to Spark: the
+    rows that name the ranges are tiny, and by their bytes they would all be put into one task.
     """
     size = width * block
     reach = size * RANGE_BLOCKS
     ranges = F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / F.lit(reach)).cast("long"))
-    todo = (
-        landing_files(spark, path)
-        .select("path", "length", F.explode(ranges).alias("number"))
-        .repartition("path", "number")
-    )
+    listed = landing_files(spark, path).select("path", "length", F.explode(ranges).alias("number"))
+    tasks = max(listed.count() // TASK_RANGES, spark.sparkContext.defaultParallelism)
+    todo = listed.repartition(tasks, "path", "number")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
