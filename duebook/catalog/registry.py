@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook import fixtures as fx
 from duebook.contracts import MONEY
+from duebook.session import bound_tasks
 from duebook.sources.storage import shared_folder, write_bucketed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +28,13 @@ def query(answer: str | None = None, name: str | None = None):
 
     def register(function):
         key = name or function.__name__
-        QUERIES[key] = function
+
+        @wraps(function)
+        def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bound_tasks(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[key] = sized
         if answer is not None:
             ANSWERS[key] = answer
         return function
