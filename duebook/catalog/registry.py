@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from duebook import fixtures as fx
 from duebook.contracts import MONEY
 from duebook.session import bound_tasks
-from duebook.sources.storage import shared_folder, write_bucketed
+from duebook.sources.storage import buckets_for, shared_folder, write_bucketed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -47,9 +47,10 @@ def money(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).try_cast(MONEY) for n in names})
 
 
-def bucketed_silver(spark: SparkSession, sf_dir: str, buckets: int = 8) -> dict[str, DataFrame]:
-    """Payments and cases as silver tables in buckets of a case."""
+def bucketed_silver(spark: SparkSession, sf_dir: str, least: int = 8) -> dict[str, DataFrame]:
+    """Payments and cases as silver tables in buckets of a case, as many as the payments need."""
     folder = shared_folder(spark, "buckets")
+    buckets = buckets_for(fx.payments_raw(spark, sf_dir), least)
     suffix = folder.rsplit("-", 1)[1]
     frames = {
         "payments": (fx.payments(spark, sf_dir), ["payment_date"]),

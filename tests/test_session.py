@@ -2,6 +2,7 @@ import pytest
 
 from duebook.catalog import QUERIES
 from duebook.session import TASK_SIZES, bound_tasks
+from duebook.sources.storage import buckets_for
 
 
 @pytest.fixture
@@ -21,3 +22,7 @@ def test_sizes_of_the_session_stay(fresh):
     bound_tasks(fresh)
     assert fresh.conf.get(name) == "8m"
     assert fresh.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+
+
+def test_buckets_grow_with_the_rows(spark):
+    assert [buckets_for(spark.range(n), 8, rows=100) for n in (0, 800, 801, 8000)] == [8, 8, 9, 80]
