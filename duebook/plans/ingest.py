@@ -205,7 +205,8 @@ def ingest_changes(
             rejected, quarantine_table, "_batch_id", batch_id, below(table_folder, quarantine_table)
         )
         monthly = clean.withColumn(feed.month, F.date_format(feed.date, "yyyy-MM"))
-        upsert(monthly, table, feed.keys, feed.month, ARRIVAL, below(table_folder, table))
+        folder = below(table_folder, table)
+        upsert(monthly, table, feed.keys, feed.month, ARRIVAL, folder, reduced=True)  # by checked_feed
     return Ingested(table, quarantine_table, metrics)
 
 

@@ -138,3 +138,24 @@ def test_placements_have_two_keys(spark, tmp_path, fresh_name):
         ("B", "2024-02-01", ["contact_not_before_placement"]),
     ]
     assert spark.table(names["quarantine_table"]).count() == 1
+
+
+def test_rewritten_months_and_reduced_changes_are_not_staged(spark, store, monkeypatch):
+    table, put = store
+    put(("a", 1, "01", 1), ("b", 1, "02", 1), ("c", 1, "02", 1))
+    purposes = []
+
+    def noted(df, purpose, *rest):
+        purposes.append(purpose)
+        return staged(df, purpose, *rest)
+
+    staged = module.staged
+    monkeypatch.setattr(module, "staged", noted)
+    moved = frame(spark, ("a", 2, "02", 2), ("c", 2, "03", 2))
+    done = upsert(moved, table, ["id"], "month", ["arrived"], reduced=True)
+    assert done == module.Upserted(("01", "02", "03"), 2, 0)
+    assert content(spark, table) == [("a", 2, "02", 2), ("b", 1, "02", 1), ("c", 2, "03", 2)]
+    assert spark.table(table).where("month = '01'").isEmpty()
+    put(("b", 3, "03", 3))
+    assert purposes == ["upsert-verdicts", "upsert-changes", "upsert-verdicts"]
+    assert content(spark, table) == [("a", 2, "02", 2), ("b", 3, "03", 3), ("c", 2, "03", 2)]
