@@ -37,6 +37,7 @@ from duebook.sources.storage import (
     replace_partition,
     shared_folder,
     stage,
+    staged,
     total_fingerprint,
 )
 from duebook.sources.storage import snapshot_fingerprint as fingerprint
@@ -366,14 +367,16 @@ def digests_by_month(spark, sf):
     month = F.date_format("payment_date", "yyyy-MM")
     columns = ["payment_id", "case_reference", "payment_date", "amount", "channel"]
     payments = fx.payments(spark, sf).select(*columns, month.alias("payment_month"), F.lit(1).alias("arrived"))
-    upsert(payments, table, ["payment_id"], "payment_month", ["arrived"], f"{folder}/{table}")
+    # the payments are one row a payment already
+    upsert(payments, table, ["payment_id"], "payment_month", ["arrived"], f"{folder}/{table}", reduced=True)
     shown = f"{table}_shown"
     spark.table(table).drop("arrived").createOrReplaceTempView(shown)
     for name in (before, after):
         refresh_digests(spark, shown, name, "payment_month", path=f"{folder}/{name}")
     corrected = payments.where(_CHANGED).withColumns({"amount": F.col("amount") + 1, "arrived": F.lit(2)})
     corrected = corrected.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
-    done = upsert(corrected, table, ["payment_id"], "payment_month", ["arrived"])
+    with staged(corrected, "corrections") as rows:
+        done = upsert(rows, table, ["payment_id"], "payment_month", ["arrived"], reduced=True)
     spark.table(table).drop("arrived").createOrReplaceTempView(shown)
     refresh_digests(spark, shown, after, "payment_month", done.partitions, path=f"{folder}/{after}")
     found = spark.table(after)
