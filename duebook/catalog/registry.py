@@ -31,7 +31,7 @@ def query(answer: str | None = None, name: str | None = None):
 
         @wraps(function)
         def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
-            bound_tasks(spark)
+            bound_tasks(spark, sf_dir)
             return function(spark, sf_dir)
 
         QUERIES[key] = sized
