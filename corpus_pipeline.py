@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from duebook.llm import host_rules, near_copies, personal_data, pieces, source_mix
 from duebook.llm.catalog import TOKENIZERS
 from duebook.llm.common import staged, table, unpacked
+from duebook.session import bound_batches
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies (five words, similarity 0.8)."""
+    bound_batches(spark)
     return near_copies.one_of_each(docs)
 
 
@@ -38,6 +40,7 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether they decode to it."""
+    bound_batches(spark)
     coded = pieces.encoded(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
     return coded.select("row.doc_id", "row.source", "row.lang", "n_tokens", "round_trip", "ids")
 

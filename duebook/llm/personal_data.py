@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from duebook.llm import crf_tagger
 from duebook.llm.common import packed
+from duebook.session import bound_batches
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -295,6 +296,7 @@ def reconciled(base: list[Span], proposals: list[tuple[float, str, int, int]]) -
 
 def detected(docs: DataFrame, model: Detector = Detector()) -> DataFrame:
     """``docs`` packed as ``row``, with counts of the base spans, their digest, and all spans."""
+    bound_batches(docs.sparkSession)
     tagger = trained(docs, model)
 
     def joined(spans: list[Span]) -> str:

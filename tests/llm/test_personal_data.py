@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -129,3 +130,20 @@ def test_overlapping_spans_are_redacted_once(spark):
         "struct(text, cast(0 AS long) AS n_chars) AS row", "spans"
     )
     assert personal_data.redacted(df).first().text == "ab <PHONE> x"
+
+
+def test_whole_texts_reach_python_in_small_batches(spark, documents):
+    session = spark.newSession()
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = session.createDataFrame([(i, "call +1 (269) 555-3296") for i in range(4500)], documents.select("doc_id", "text").schema)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    found = personal_data.detected(docs.coalesce(1), Detector(epochs=1, least_steps=1))
+    assert max(r.n for r in docs.coalesce(1).mapInArrow(sizes, "n long").collect()) <= 1000
+    assert found.where("n_phone = 1").count() == 4500
+    session.conf.set(name, "300")
+    personal_data.detected(docs, Detector(epochs=1, least_steps=1))
+    assert session.conf.get(name) == "300"
